@@ -81,6 +81,12 @@ def later_and_better(picks: DataFrame, cands: DataFrame, pick: str, score: str,
              .withColumn("_lb_bucket", F.explode_outer(reach))
              .drop("_lb_lo", "_lb_hi")
              .filter(F.col("_lb_bucket").isNotNull()))
+    # Both sides hash-partitioned on (league, bucket) with an explicit partition count: the
+    # inputs are small but the output is quadratic, so AQE must not fold the join into a
+    # few tasks; the sort-merge join reuses this partitioning (no further exchange).
+    parts = int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(parts, *[F.col(c) for c in by], F.col("_lb_bucket"))
+    right = right.repartition(parts, *[F.col(c) for c in by], F.col("_lb_bucket"))
     right = right.withColumnsRenamed({c: f"_lb_r_{c}" for c in by})
     cond = left["_lb_bucket"] == right["_lb_bucket"]
     for c in by:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from draftledger.functions.columns import col
-from draftledger.session import shared_dir
+from draftledger.session import materialize
 
 
 def _cols(names: Sequence) -> list[Column]:
@@ -50,7 +50,7 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     ``order`` must be a total order on the rows that matter (add tie-breakers), else rows
     that tie get their numbers in an arbitrary order, as with any row_number.
 
-    Plan: one range shuffle on (by, order), checkpointed; inside each shuffle partition the
+    Plan: one range shuffle on (by, order), written once to the shared folder; inside each shuffle partition the
     rows are sorted and numbered by position; a small table with one row per (group, partition)
     gives each partition the number of rows of its group in earlier partitions. The
     small table has at most (#groups + #partitions) rows; it is joined back on
@@ -60,14 +60,12 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [col(c).asc_nulls_first() for c in by] + list(order)
-    # Materialised once (reliable checkpoint in the shared folder): both uses below must
-    # see the same range bounds, and a second range exchange would sample its own.
-    shared_dir(spark)
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_rw_part", F.spark_partition_id())
-              .withColumn("_rw_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # Written once to the shared folder: both uses below must see the same partition
+    # numbers and positions (a second range exchange would sample its own bounds).
+    ranged = materialize(df.repartitionByRange(n, *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn("_rw_part", F.spark_partition_id())
+                         .withColumn("_rw_pos", F.monotonically_increasing_id()), "ranked")
     blocks = (ranged.groupBy(*_cols(by), "_rw_part")
               .agg(F.min("_rw_pos").alias("_rw_first"), F.count(F.lit(1)).alias("_rw_n")))
     earlier = Window.partitionBy(*_cols(by)).orderBy("_rw_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -88,10 +88,13 @@ def tracked_titles(latest: DataFrame, manual: DataFrame) -> DataFrame:
     return kept.select(*KEYS, *[F.col(c).cast("bigint").alias(c) for c in MONEY], "first_seen_date")
 
 
+def _manual_as_tracked(manual: DataFrame) -> DataFrame:
+    return manual.select(*KEYS, *[F.col(c).cast("bigint").alias(c) for c in MONEY], "first_seen_date")
+
+
 def with_manual_adds(tracked: DataFrame, manual: DataFrame) -> DataFrame:
     """Tracked titles plus the manual entries, both in the tracked types."""
-    man = manual.select(*KEYS, *[F.col(c).cast("bigint").alias(c) for c in MONEY], "first_seen_date")
-    return tracked.unionByName(man)
+    return tracked.unionByName(_manual_as_tracked(manual))
 
 
 def dedupe_titles(titles: DataFrame) -> DataFrame:
@@ -100,6 +103,13 @@ def dedupe_titles(titles: DataFrame) -> DataFrame:
     return first_per_key(titles, KEYS, order)
 
 
+def dedupe_titles_split(tracked: DataFrame, manual: DataFrame) -> DataFrame:
+    """W10 without shuffling the tracked titles: they are already one row per title and,
+    after J6, share no title with the manual entries, so only the manual entries can hold
+    duplicates. Same rows as ``dedupe_titles(with_manual_adds(tracked, manual))``."""
+    return tracked.unionByName(dedupe_titles(_manual_as_tracked(manual)))
+
+
 def manual_flag(base: DataFrame, manual: DataFrame, act: DataFrame) -> DataFrame:
     """Manual titles are never "still in theaters"; others take the activity flag."""
     flagged = in_flag(base.select(*KEYS), "title", manual, "title", "is_manual")

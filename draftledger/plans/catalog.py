@@ -36,7 +36,7 @@ def _s2(spark, sf_dir):
 
 def _s6(spark, sf_dir):
     absent = readers.optional_source(spark, f"{sf_dir}/manual_adds.parquet", schemas.MANUAL_ADDS_TEXT)
-    return Models(spark, SEASON, sf_dir=sf_dir, manual_adds_text=absent).scored
+    return Models.from_testbed(spark, sf_dir, SEASON, manual_adds_text=absent).scored
 
 
 def _k1(spark, sf_dir):

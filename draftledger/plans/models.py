@@ -12,23 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from draftledger.operators import alternatives, checks, clean, present, standings, titles
 from draftledger.params import DEFAULT_SEASON, Season
+from draftledger.session import materialize
 from draftledger.sources import readers, testbed
 
 
 class Models:
     def __init__(self, spark: SparkSession, season: Season = DEFAULT_SEASON, *,
                  snapshots=None, draft_text=None, rules_text=None, manual_adds_text=None,
-                 sf_dir: str | None = None, pair_bucket_width: int = 128):
+                 sf_dir: str | None = None, pair_bucket_width: int = 128,
+                 materialize_shared: bool = True):
         self.spark = spark
         self.season = season
         self.sf_dir = sf_dir
         self.pair_bucket_width = pair_bucket_width
+        self.materialize_shared = materialize_shared
         self._given = {"raw_snapshots": snapshots, "draft_text": draft_text,
                        "rules_text": rules_text, "manual_adds_text": manual_adds_text}
 
     @classmethod
     def from_testbed(cls, spark: SparkSession, sf_dir: str, season: Season = DEFAULT_SEASON, **kw) -> "Models":
-        return cls(spark, season, sf_dir=sf_dir, **kw)
+        """Models over the league tables derived from the driver's tables (materialised once)."""
+        tables = testbed.load(spark, sf_dir, season)
+        given = {"snapshots": tables["snapshots"], "draft_text": tables["draft_text"],
+                 "rules_text": tables["rules_text"], "manual_adds_text": tables["manual_adds_text"]}
+        given.update({k: v for k, v in kw.items() if k in given})
+        rest = {k: v for k, v in kw.items() if k not in given}
+        return cls(spark, season, sf_dir=sf_dir, **given, **rest)
 
     def _input(self, name, make):
         given = self._given.get(name)
@@ -116,7 +125,7 @@ class Models:
 
     @cached_property
     def base_titles(self) -> DataFrame:
-        return titles.dedupe_titles(self.with_manual)
+        return titles.dedupe_titles_split(self.tracked, self.manual_adds)
 
     @cached_property
     def picks(self) -> DataFrame:
@@ -127,23 +136,41 @@ class Models:
         return titles.score_titles(self.base_titles, self.picks, self.activity,
                                    self.movie_overrides, self.manual_adds)
 
+    @cached_property
+    def scored_table(self) -> DataFrame:
+        """M1 written once: read by both sides of the pair join and by the released table."""
+        return materialize(self.scored, "base_query_int") if self.materialize_shared else self.scored
+
     # alternatives ----------------------------------------------------------------------
     @cached_property
     def pairs(self) -> DataFrame:
-        return alternatives.better_pick_pairs(self.scored, self.round_multipliers, self.pair_bucket_width)
+        return alternatives.better_pick_pairs(self.scored_table, self.round_multipliers, self.pair_bucket_width)
+
+    @cached_property
+    def pairs_table(self) -> DataFrame:
+        """M2 written once, when the per-title statistics need it (their distinct count
+        shuffles the pairs anyway) so the best alternative can read it too."""
+        return materialize(self.pairs, "better_pick_int") if self.materialize_shared else self.pairs
 
     @cached_property
     def best_alternative(self) -> DataFrame:
-        return alternatives.best_alternative(self.pairs)
+        """M3, one row per pick, written once (it feeds the rank of the released table,
+        whose range sampling would otherwise re-run the pair join). Without a written pair
+        table the top-1 runs on the join output: the map-side group limit keeps one row per
+        pick and task, so the pairs themselves are never shuffled."""
+        best = alternatives.best_alternative(self.__dict__.get("pairs_table", self.pairs))
+        return materialize(best, "better_pick_final") if self.materialize_shared else best
 
     @cached_property
     def better_pick_stats(self) -> DataFrame:
-        return alternatives.better_pick_stats(self.pairs)
+        """A3, one row per drafted title, written once (it feeds the rank of the worst picks)."""
+        stats = alternatives.better_pick_stats(self.pairs_table)
+        return materialize(stats, "better_pick_stats") if self.materialize_shared else stats
 
     # league tables ---------------------------------------------------------------------
     @cached_property
     def base_query(self) -> DataFrame:
-        return standings.released_picks(self.scored, self.best_alternative, self.season)
+        return standings.released_picks(self.scored_table, self.best_alternative, self.season)
 
     @cached_property
     def scoreboard(self) -> DataFrame:
@@ -155,7 +182,8 @@ class Models:
 
     @cached_property
     def worst_picks(self) -> DataFrame:
-        return standings.worst_picks(self.base_query, self.better_pick_stats)
+        stats = self.better_pick_stats  # first: the released table then reuses the pair table
+        return standings.worst_picks(self.base_query, stats)
 
     @cached_property
     def draftee_dashboard(self) -> DataFrame:
@@ -173,8 +201,8 @@ class Models:
 
     @cached_property
     def row_budget(self) -> DataFrame:
-        return present.row_budget(self.leagues, self.scoreboard, self.base_query,
-                                  self.worst_picks, self.best_picks)
+        worst = self.worst_picks
+        return present.row_budget(self.leagues, self.scoreboard, self.base_query, worst, self.best_picks)
 
     def outputs(self) -> dict[str, DataFrame]:
         """The tables a refresh writes."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC dates, ANSI arithmetic (Spark 4 default), AQE for
 # runtime re-planning (broadcast only when a side measures under the threshold, skew
@@ -63,3 +64,37 @@ def shared_dir(spark: SparkSession) -> str:
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="draftledger-"))
     return sc.getCheckpointDir()
+
+
+def shared_root(spark: SparkSession) -> str:
+    """Root of the shared folder (``spark.checkpoint.dir`` as configured, without the
+    per-application subfolder Spark adds for checkpoints), for tables reused across runs."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return shared_dir(spark).rstrip("/")
+
+
+def path_complete(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a finished Spark write (its ``_SUCCESS`` marker exists)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Used for tables that several later steps read (the scored titles, the pair table, the
+    range-sorted rows of a ranking): the plan runs once instead of once per reader, the
+    lineage is cut, and a lost executor costs a re-read instead of a recomputation. (An
+    eager reliable ``checkpoint()`` would run the plan twice: once to count, once to save.)
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
