@@ -146,25 +146,21 @@ class Models:
     def pairs(self) -> DataFrame:
         return alternatives.better_pick_pairs(self.scored_table, self.round_multipliers, self.pair_bucket_width)
 
-    @cached_property
-    def pairs_table(self) -> DataFrame:
-        """M2 written once, when the per-title statistics need it (their distinct count
-        shuffles the pairs anyway) so the best alternative can read it too."""
-        return materialize(self.pairs, "better_pick_int") if self.materialize_shared else self.pairs
-
     @cached_property
     def best_alternative(self) -> DataFrame:
         """M3, one row per pick, written once (it feeds the rank of the released table,
-        whose range sampling would otherwise re-run the pair join). Without a written pair
-        table the top-1 runs on the join output: the map-side group limit keeps one row per
-        pick and task, so the pairs themselves are never shuffled."""
-        best = alternatives.best_alternative(self.__dict__.get("pairs_table", self.pairs))
+        whose range sampling would otherwise re-run the pair join). The top-1 runs on the
+        join output: the map-side group limit keeps one row per pick and task, so the pairs
+        themselves are never shuffled. The pair table is not written: its inputs are the
+        small per-league pick lists, so recomputing the join for the per-title statistics
+        costs less than writing and re-reading its quadratic output."""
+        best = alternatives.best_alternative(self.pairs)
         return materialize(best, "better_pick_final") if self.materialize_shared else best
 
     @cached_property
     def better_pick_stats(self) -> DataFrame:
         """A3, one row per drafted title, written once (it feeds the rank of the worst picks)."""
-        stats = alternatives.better_pick_stats(self.pairs_table)
+        stats = alternatives.better_pick_stats(self.pairs)
         return materialize(stats, "better_pick_stats") if self.materialize_shared else stats
 
     # league tables ---------------------------------------------------------------------
@@ -182,8 +178,7 @@ class Models:
 
     @cached_property
     def worst_picks(self) -> DataFrame:
-        stats = self.better_pick_stats  # first: the released table then reuses the pair table
-        return standings.worst_picks(self.base_query, stats)
+        return standings.worst_picks(self.base_query, self.better_pick_stats)
 
     @cached_property
     def draftee_dashboard(self) -> DataFrame:
@@ -201,8 +196,8 @@ class Models:
 
     @cached_property
     def row_budget(self) -> DataFrame:
-        worst = self.worst_picks
-        return present.row_budget(self.leagues, self.scoreboard, self.base_query, worst, self.best_picks)
+        return present.row_budget(self.leagues, self.scoreboard, self.base_query,
+                                  self.worst_picks, self.best_picks)
 
     def outputs(self) -> dict[str, DataFrame]:
         """The tables a refresh writes."""

@@ -55,15 +55,18 @@ def refresh(spark: SparkSession, inputs: dict[str, DataFrame], out_root: str,
     m = Models(spark, season, snapshots=inputs["snapshots"], draft_text=inputs["draft_text"],
                rules_text=inputs["rules_text"], manual_adds_text=inputs["manual_adds_text"],
                materialize_shared=False)
-    # K1: the scored titles first; every later model reads the written table.
-    present.write_league_tables({"base_query_int": m.scored}, out_root)
-    m.__dict__["scored_table"] = spark.read.parquet(f"{out_root}/base_query_int")
-    present.write_league_tables({"better_pick_int": m.pairs}, out_root)
-    m.__dict__["pairs_table"] = spark.read.parquet(f"{out_root}/better_pick_int")
-    present.write_league_tables({"better_pick_final": m.best_alternative}, out_root)
-    m.__dict__["best_alternative"] = spark.read.parquet(f"{out_root}/better_pick_final")
-    present.write_league_tables({"base_query": m.base_query}, out_root)
-    m.__dict__["base_query"] = spark.read.parquet(f"{out_root}/base_query")
+
+    def write_and_reread(name: str, df: DataFrame) -> DataFrame:
+        present.write_league_tables({name: df}, out_root)
+        # the written schema keeps draft_id a string; only the refreshed leagues are read back
+        back = spark.read.schema(df.schema).parquet(f"{out_root}/{name}")
+        return only_leagues({name: back}, leagues)[name]
+
+    # K1: each shared model is written first and the later models read the written table.
+    m.__dict__["scored_table"] = write_and_reread("base_query_int", m.scored)
+    m.__dict__["pairs"] = write_and_reread("better_pick_int", m.pairs)
+    m.__dict__["best_alternative"] = write_and_reread("better_pick_final", m.best_alternative)
+    m.__dict__["base_query"] = write_and_reread("base_query", m.base_query)
     rest = {k: v for k, v in m.outputs().items()
             if k not in ("base_query_int", "better_pick_int", "better_pick_final", "base_query")}
     present.write_league_tables(rest, out_root)
