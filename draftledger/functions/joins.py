@@ -22,7 +22,7 @@ def not_in(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
     """
     by = list(by)
     values = lookup.select(*by, F.col(lookup_key).alias(key))
-    listed = values.filter(F.col(key).isNotNull()).distinct()
+    listed = values.filter(F.col(key).isNotNull()).distinct()  # A8
     flags = (values.groupBy(*by)
              .agg(F.max(F.col(key).isNull()).alias("_ni_list_has_null")))
     kept = df.join(listed, on=by + [key], how="left_anti").join(flags, on=by, how="left")

@@ -31,7 +31,8 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the first by ``order`` (QUALIFY row_number() = 1)."""
+    """One row per key: the first by ``order`` (F8, QUALIFY row_number() = 1, which Spark SQL
+    cannot parse: window column, filter, drop)."""
     return top_n_per_key(df, keys, order, 1, "_first_rn").drop("_first_rn")
 
 

@@ -35,15 +35,18 @@ def better_pick_pairs(scored: DataFrame, round_mult: DataFrame, width: int = 128
                            F.col("scored_revenue").alias("_c_score"),
                            F.col("drafted_by").alias("_c_by"))
     pairs = later_and_better(picks, cands, "overall_pick", "_p_score", "_c_pick", "_c_score", width=width)
+    # Hypothetical score and missed revenue, double and unrounded
     hypo = F.coalesce(F.col("multiplier"), F.lit(1.0)) * F.col("_c_rev").cast("double")
     missed = hypo - F.col("_p_score").cast("double")
     out = pairs.select(
         "draft_id", "title", "overall_pick", "better_pick_title", "original_pick_revenue", "multiplier",
         hypo.alias("better_pick_scored_revenue"),
         missed.alias("missed_revenue"),
+        # Pair flags (3-valued, as in SQL)
         ((F.col("_p_by") != F.col("_c_by")) & F.col("_c_by").isNotNull()).alias("better_pick_drafted_by_someone_else"),
         F.col("_c_by").isNull().alias("better_pick_drafted_by_no_one"),
     )
+    # F4, after the projection (the SQL filters on a SELECT alias)
     return out.filter((F.col("missed_revenue") > 0) | F.col("missed_revenue").isNull())
 
 

@@ -33,8 +33,8 @@ def released_picks(scored: DataFrame, best: DataFrame, season: Season) -> DataFr
         "multiplier", "domestic_rev", "domestic_pct", "foreign_rev", "foreign_pct",
         F.coalesce("better_pick_title", F.lit("")).alias("better_pick_title"),
         F.coalesce("better_pick_scored_revenue", F.lit(0.0)).alias("better_pick_scored_revenue"),
-        display_date("first_seen_date").alias("first_seen_date"),
-        label.alias("still_in_theaters"),
+        display_date("first_seen_date").alias("first_seen_date"),          # P9
+        label.alias("still_in_theaters"),                                  # P10 + P11
     )
     ranked = row_number_within(shaped, LEAGUE, score_order(), "rank")
     return ranked.select(*BASE_QUERY_COLUMNS)

@@ -22,6 +22,8 @@ SEASON = DEFAULT_SEASON
 
 
 def _m(spark: SparkSession, sf_dir: str) -> Models:
+    # dates and publish times are UTC throughout, whatever session the caller brings
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Models.from_testbed(spark, sf_dir, SEASON)
 
 
@@ -35,6 +37,7 @@ def _s2(spark, sf_dir):
 
 
 def _s6(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     absent = readers.optional_source(spark, f"{sf_dir}/manual_adds.parquet", schemas.MANUAL_ADDS_TEXT)
     return Models.from_testbed(spark, sf_dir, SEASON, manual_adds_text=absent).scored
 
