@@ -58,12 +58,13 @@ def row_number_within(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     (group, partition) and Spark broadcasts it only when its measured size is under the
     broadcast threshold.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [col(c).asc_nulls_first() for c in by] + list(order)
+    # Without an explicit count AQE may coalesce the range partitions of a small input; it
+    # only merges neighbouring ranges, so partition order still follows the sort order.
+    ranged_in = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     # Written once to the shared folder: both uses below must see the same partition
     # numbers and positions (a second range exchange would sample its own bounds).
-    ranged = materialize(df.repartitionByRange(n, *keys)
+    ranged = materialize(ranged_in
                          .sortWithinPartitions(*keys)
                          .withColumn("_rw_part", F.spark_partition_id())
                          .withColumn("_rw_pos", F.monotonically_increasing_id()), "ranked")

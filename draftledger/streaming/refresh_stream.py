@@ -31,8 +31,13 @@ def start(spark: SparkSession, paths: InputPaths, out_root: str, checkpoint: str
     stream watches it and every refresh reads the whole history of the touched leagues."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select("draft_id").distinct()
-        refresh(spark, load_inputs(spark, paths), out_root, season, leagues=touched)
+        # one row per touched league (at most the number of leagues); kept for the several
+        # semi joins of the refresh instead of re-reading the new files for each
+        touched = batch.select("draft_id").distinct().cache()
+        try:
+            refresh(spark, load_inputs(spark, paths), out_root, season, leagues=touched)
+        finally:
+            touched.unpersist()
 
     writer = (new_snapshot_files(spark, paths.snapshots).writeStream
               .foreachBatch(on_batch)

@@ -96,3 +96,27 @@ def test_in_flag_only_true_matches(spark):
     lookup = spark.createDataFrame([("A", "x"), ("A", None)], "draft_id string, title string")
     got = {(r.title, r.f) for r in in_flag(rows, "title", lookup, "title", "f").collect()}
     assert got == {("x", True), (None, False), ("y", False)}
+
+
+def test_row_number_within_after_aqe_coalescing(spark):
+    """No explicit count: AQE merges neighbouring range partitions; numbering stays exact."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.createDataFrame(_rows(3000, 11), "league string, title string, score double")
+        order = [desc("score"), asc("title")]
+        got = row_number_within(df, ["league"], order, "rk")
+        ref = df.withColumn("rk2", F.row_number().over(Window.partitionBy("league").orderBy(*order)))
+        j = got.join(ref, ["league", "title"])
+        assert j.count() == 3000
+        assert j.filter("rk <> rk2").count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
