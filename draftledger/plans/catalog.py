@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from draftledger.operators import checks, present, standings, titles
 from draftledger.params import DEFAULT_SEASON

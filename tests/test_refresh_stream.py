@@ -1,6 +1,5 @@
 """The full refresh (K1) and the streaming trigger that refreshes only touched leagues."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
