@@ -53,33 +53,45 @@ def later_and_better(picks: DataFrame, cands: DataFrame, pick: str, score: str,
     within each league.
 
     A plain inequality join would be a nested loop over a whole league in one task. Here
-    picks are cut into buckets of ``width`` consecutive pick numbers; a candidate is copied
-    into its own bucket and every earlier bucket of its league (a candidate without a pick
-    number into all of them and into the NULL bucket), so the join runs on the equi-key
+    each league's pick range is cut into ceil(picks / ``width``) buckets; a candidate is
+    copied into its own bucket and every earlier bucket of its league (a candidate without a
+    pick number into all of them and into the NULL bucket), so the join runs on the equi-key
     (league, bucket) with the inequalities as a residual. Each pick sits in exactly one
     bucket, so every qualifying pair is produced once and unmatched picks get one NULL row,
     exactly as the left join. Work per (league, bucket) task is ``width`` picks against the
     candidates at or after that bucket; a big league spreads over many tasks.
     """
     by = list(by)
-    bucket = F.floor(F.col(pick) / F.lit(width)).cast("bigint")
-    span = (picks.filter(F.col(pick).isNotNull())
-            .groupBy(*by).agg(F.min(bucket).alias("_lb_lo"), F.max(bucket).alias("_lb_hi")))
-    left = picks.withColumn("_lb_bucket", F.coalesce(bucket, F.lit(NULL_BUCKET).cast("bigint")))
-    cbucket = F.floor(F.col(cand_pick) / F.lit(width)).cast("bigint")
-    null_only = F.array(F.lit(NULL_BUCKET).cast("bigint"))
+    # Per league: lo..hi pick range cut into nb = ceil(count / width) buckets. The bucket is
+    # non-decreasing in the pick number, so "later pick" never points to an earlier bucket,
+    # and the number of buckets (hence each candidate's copies) is bounded by the league's
+    # pick count however sparse the pick numbers are.
+    span = (picks.filter(F.col(pick).isNotNull()).groupBy(*by)
+            .agg(F.min(pick).cast("bigint").alias("_lb_lo"), F.max(pick).cast("bigint").alias("_lb_hi"),
+                 F.count(pick).alias("_lb_n"))
+            .withColumn("_lb_nb", F.expr(f"(_lb_n + {width} - 1) div {width}")))
+
+    def bucket_of(c: str) -> F.Column:
+        return F.expr(f"((CAST({c} AS BIGINT) - _lb_lo) * _lb_nb) div (_lb_hi - _lb_lo + 1)")
+
+    null_b = F.lit(NULL_BUCKET).cast("bigint")
+    left = (picks.join(span, on=by, how="left")
+            .withColumn("_lb_bucket", F.when(F.col(pick).isNull() | F.col("_lb_lo").isNull(), null_b)
+                        .otherwise(bucket_of(pick)))
+            .drop("_lb_lo", "_lb_hi", "_lb_n", "_lb_nb"))
+    cbucket = bucket_of(cand_pick)
+    all_buckets = F.sequence(F.lit(0).cast("bigint"), F.col("_lb_nb") - 1)
+    null_only = F.array(null_b)
     reach = F.when(
         F.col(cand_pick).isNull() & F.col("_lb_lo").isNull(), null_only,
     ).when(
-        F.col(cand_pick).isNull(),
-        F.concat(null_only, F.sequence(F.col("_lb_lo"), F.col("_lb_hi"))),
+        F.col(cand_pick).isNull(), F.concat(null_only, all_buckets),
     ).when(
-        cbucket >= F.col("_lb_lo"),
-        F.sequence(F.col("_lb_lo"), F.least(cbucket, F.col("_lb_hi"))),
+        cbucket >= 0, F.sequence(F.lit(0).cast("bigint"), F.least(cbucket, F.col("_lb_nb") - 1)),
     )
     right = (cands.join(span, on=by, how="left")
              .withColumn("_lb_bucket", F.explode_outer(reach))
-             .drop("_lb_lo", "_lb_hi")
+             .drop("_lb_lo", "_lb_hi", "_lb_n", "_lb_nb")
              .filter(F.col("_lb_bucket").isNotNull()))
     # Both sides hash-partitioned on (league, bucket) with an explicit partition count: the
     # inputs are small but the output is quadratic, so AQE must not fold the join into a

@@ -120,3 +120,17 @@ def test_row_number_within_after_aqe_coalescing(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_later_and_better_sparse_pick_numbers(spark):
+    """Pick numbers far apart: buckets follow the league's pick count, not the number range."""
+    rnd = random.Random(5)
+    picks = []
+    for i, pick in enumerate([1, 7, 1000, 10 ** 6, 2 ** 30, 2 ** 31 - 1, None, 42, 43]):
+        picks.append(("S", pick, float(rnd.randint(0, 9)), f"S{i}"))
+    p = spark.createDataFrame(picks, "draft_id string, pick int, score double, pid string")
+    c = p.select("draft_id", F.col("pick").alias("cpick"), F.col("score").alias("cscore"), F.col("pid").alias("cid"))
+    for width in (1, 2, 128):
+        got = later_and_better(p, c, "pick", "score", "cpick", "cscore", width=width).select("pid", "cid").collect()
+        got = sorted([(r.pid, r.cid) for r in got], key=lambda t: (t[0], t[1] or ""))
+        assert got == _brute_pairs(picks, picks)
