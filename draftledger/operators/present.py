@@ -114,6 +114,25 @@ def budgeted_picks(layout: DataFrame, worst: DataFrame, best: DataFrame) -> Data
     return w.unionByName(b)
 
 
+def dashboard_tables(board: DataFrame, base_query: DataFrame, layout: DataFrame, worst: DataFrame,
+                     best: DataFrame) -> dict[str, DataFrame]:
+    """K2: the four dashboard tables under their display headings: standings, released
+    titles, and the worst and best picks cut to the row budget (O2, O3)."""
+    standings = read_model(board.select("draft_id", "drafted_by_name", "scored_revenue", "num_released",
+                                        "correctly_drafted_pick_count", "correct_pick_pct",
+                                        "unadjusted_revenue"), ["draft_id"] + SCOREBOARD_HEADINGS)
+    shown = budgeted_picks(layout, worst, best)
+
+    def picks(table: str, headings: list[str]) -> DataFrame:
+        rows = shown.filter(F.col("table_name") == table).select(
+            "draft_id", "rank", "title", "drafted_by", "overall_pick", "metric", "amount")
+        return read_model(rows, ["draft_id"] + headings)
+
+    return {"dashboard_standings": standings, "dashboard_released": released_movies(base_query),
+            "dashboard_worst_picks": picks("worst", WORST_HEADINGS),
+            "dashboard_best_picks": picks("best", BEST_HEADINGS)}
+
+
 def write_league_tables(tables: dict[str, DataFrame], root: str) -> None:
     """K1/K2/K3: full refresh of each table under ``root/<name>``, partitioned by league.
     Dynamic partition overwrite replaces only the leagues present in the frame, so one

@@ -210,7 +210,8 @@ class Models:
             "best_picks": self.best_picks,
             "worst_picks": self.worst_picks,
             "draftee_dashboard": self.draftee_dashboard,
-            "released_movies_display": present.released_movies(self.base_query),
+            **present.dashboard_tables(self.scoreboard, self.base_query, self.row_budget,
+                                       self.worst_picks, self.best_picks),
             "draftee_tabs": present.draftee_tabs(self.draftee_dashboard),
             "drafter_scoreboard": checks.drafter_scoreboard(self.draft, self.scoreboard),
             "row_budget": self.row_budget,

@@ -117,3 +117,14 @@ def test_refresh_writes_partitioned_by_league(spark, tmp_path):
     assert (tmp_path / "base_query" / "draft_id=L").exists()
     assert (tmp_path / "draftee_tabs" / "draft_id=L" / "draftee_name=Ann").exists()
     assert spark.read.parquet(str(tmp_path / "base_query")).filter(F.col("draft_id") == "L").count() == 3
+
+
+def test_dashboard_tables_headings(spark):
+    m = _league(spark)
+    tables = present.dashboard_tables(m.scoreboard, m.base_query, m.row_budget, m.worst_picks, m.best_picks)
+    assert tables["dashboard_standings"].columns == ["draft_id"] + present.SCOREBOARD_HEADINGS
+    assert tables["dashboard_worst_picks"].columns == ["draft_id"] + present.WORST_HEADINGS
+    assert tables["dashboard_best_picks"].columns == ["draft_id"] + present.BEST_HEADINGS
+    assert tables["dashboard_standings"].count() == 2
+    # 3 released titles, 2 standings rows: no space for pick tables (available height < 1)
+    assert tables["dashboard_worst_picks"].count() == 0
