@@ -128,3 +128,11 @@ def test_dashboard_tables_headings(spark):
     assert tables["dashboard_standings"].count() == 2
     # 3 released titles, 2 standings rows: no space for pick tables (available height < 1)
     assert tables["dashboard_worst_picks"].count() == 0
+
+
+def test_draft_from_csv_export(spark, tmp_path):
+    path = tmp_path / "draft.csv"
+    path.write_text("draft_id,round,overall_pick,name,movie\nL,1,1,Ann,A\nL,1,2,Bob,B\nL,2,,Ann,C\n")
+    rows = readers.read_draft_csv(spark, str(path)).orderBy("movie").collect()
+    assert [(r["round"], r.overall_pick, r.name, r.movie) for r in rows] == [(1, 1, "Ann", "A"), (1, 2, "Bob", "B"),
+                                                                             (2, None, "Ann", "C")]
