@@ -83,12 +83,14 @@ def manual_adds_from_text(text: DataFrame) -> DataFrame:
 
 
 def rules_from_text(text: DataFrame) -> DataFrame:
-    """Scoring rules; a blank multiplier becomes 0.0 (not NULL, not 1)."""
+    """Scoring rules; a blank multiplier becomes 0.0 (not NULL, not 1). A CSV export
+    reads a blank cell as NULL, so NULL counts as blank."""
     m = F.col("multiplier").cast("string")
+    blank = F.coalesce(F.trim(m), F.lit("")) == ""
     return text.select(
         "draft_id",
         F.col("value").cast("string"),
-        F.when(F.trim(m) == "", F.lit(0.0)).otherwise(m.cast("double")).alias("multiplier"),
+        F.when(blank, F.lit(0.0)).otherwise(m.cast("double")).alias("multiplier"),
         F.col("type").cast("string"),
     )
 
@@ -97,8 +99,11 @@ def optional_source(spark: SparkSession, path: str, schema: T.StructType,
                     required: bool = False, fmt: str = "parquet") -> DataFrame:
     """A source that may be absent. Absent and optional -> empty frame with full schema;
     absent and required (the draft) -> error."""
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)  # sheet exports carry a header row
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return reader.load(path)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) and "Path does not exist" not in str(err):
             raise

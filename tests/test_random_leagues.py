@@ -56,7 +56,7 @@ def generate(seed):
         if rnd.random() < 0.5:
             rules.append((lg, "2", "2.0", "round"))  # duplicated override
         for t in rnd.sample(titles, k=3):
-            rules.append((lg, t, rnd.choice(["0.5", "2", "", "3.0"]), "movie"))
+            rules.append((lg, t, rnd.choice(["0.5", "2", "", "3.0", None]), "movie"))
         for t in rnd.sample(titles, k=1):
             rules.append((lg, t, "", "exclusion"))
         if lg == "L3" and seed % 2 == 0:

@@ -136,3 +136,11 @@ def test_draft_from_csv_export(spark, tmp_path):
     rows = readers.read_draft_csv(spark, str(path)).orderBy("movie").collect()
     assert [(r["round"], r.overall_pick, r.name, r.movie) for r in rows] == [(1, 1, "Ann", "A"), (1, 2, "Bob", "B"),
                                                                              (2, None, "Ann", "C")]
+
+
+def test_optional_source_csv_with_header(spark, tmp_path):
+    path = tmp_path / "rules.csv"
+    path.write_text("draft_id,value,multiplier,type\nL,T,,movie\nL,2,2.0,round\n")
+    rules = readers.rules_from_text(readers.optional_source(spark, str(path), S.RULES_TEXT, fmt="csv"))
+    assert sorted((r.value, r.multiplier, r.type) for r in rules.collect()) == [("2", 2.0, "round"), ("T", 0.0, "movie")]
+    assert readers.optional_source(spark, str(tmp_path / "none.csv"), S.RULES_TEXT, fmt="csv").count() == 0
