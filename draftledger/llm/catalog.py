@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from draftledger.llm import mixing
+from draftledger.llm import decontaminate, mixing
 
 QUERIES = {
     "op4_mixing": mixing.query,
+    "op8_decontaminate": decontaminate.query,
 }
 
 ORACLE_SQL = {
     "op4_mixing": mixing.ORACLE,
+    "op8_decontaminate": decontaminate.ORACLE,
 }
