@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing
+from draftledger.llm import decontaminate, mixing, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
     "op8_decontaminate": decontaminate.query,
 }
