@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, simhash
+from draftledger.llm import decontaminate, mixing, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
     "op8_decontaminate": decontaminate.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE_SQL = {
