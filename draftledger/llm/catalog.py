@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, simhash, toxicity
+from draftledger.llm import decontaminate, mixing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
+    "op6_quality": quality.query,
     "op8_decontaminate": decontaminate.query,
     "op10_toxicity": toxicity.query,
 }
