@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, quality, simhash, toxicity
+from draftledger.llm import decontaminate, mixing, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op4_mixing": mixing.query,
     "op6_quality": quality.query,
+    "op7_warc": warc.query,
     "op8_decontaminate": decontaminate.query,
     "op10_toxicity": toxicity.query,
 }
 
 ORACLE_SQL = {
     "op4_mixing": mixing.ORACLE,
+    "op7_warc": warc.ORACLE,
     "op8_decontaminate": decontaminate.ORACLE,
 }
