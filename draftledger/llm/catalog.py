@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, quality, simhash, toxicity, warc
+from draftledger.llm import decontaminate, mixing, quality, secrets, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
+    "op3_secrets": secrets.query,
     "op4_mixing": mixing.query,
     "op6_quality": quality.query,
     "op7_warc": warc.query,
