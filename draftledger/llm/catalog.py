@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, quality, secrets, simhash, toxicity, warc
+from draftledger.llm import decontaminate, mixing, pii, quality, secrets, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality": quality.query,
     "op7_warc": warc.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_pii": pii.query,
     "op10_toxicity": toxicity.query,
 }
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from draftledger.llm.common import load, materialize, pack, unpack
-from draftledger.llm.spans import as_text, listed, matches, overlaps, ranked, redacted
+from draftledger.llm.spans import as_text, listed, matches, overlaps, ranked, redacted, with_fields
 
 _SECRET = r"[A-Za-z0-9+/_.=-]"
 ASSIGN = rf"(?i:(password|passwd|secret|token|api_?key))[\"']?+\x20*+[:=]\x20*+[\"']?+({_SECRET}++)"
@@ -71,13 +71,6 @@ def _tail(z: Column) -> Column:
     return F.when(z >= 0, p).otherwise(1 - p)
 
 
-def _with(spans: Column, fields: list[str], **new) -> tuple[Column, list[str]]:
-    """Spans with further fields, each from the fields so far, so that each is computed once."""
-    out = F.transform(spans, lambda s: F.struct(*[s[f].alias(f) for f in fields],
-                                                *[make(s).alias(name) for name, make in new.items()]))
-    return out, [*fields, *new]
-
-
 def _sum(array: Column, start=0.0) -> Column:
     return F.aggregate(array, F.lit(start), lambda s, x: s + x)
 
@@ -85,7 +78,7 @@ def _sum(array: Column, start=0.0) -> Column:
 def _next(array: Column, f) -> Column:
     """``f`` over neighbours."""
     n = F.size(array) - 1
-    return F.zip_with(F.slice(array, 1, n), F.slice(array, 2, n), f)
+    return F.zipwith_fields(F.slice(array, 1, n), F.slice(array, 2, n), f)
 
 
 def _alphabet(core: Column) -> Column:
@@ -98,15 +91,15 @@ def _alphabet(core: Column) -> Column:
 def tested(spans: Column) -> Column:
     """Spans (start, end, text) with length class and p-value bin under "drawn at random from its
     alphabet"; spans that no alphabet holds are left out."""
-    x, f = _with(spans, ["start", "end"], core=lambda s: F.regexp_replace(s["text"], "=+$", ""))
-    x, f = _with(x, f, alphabet=lambda s: _alphabet(s["core"]))
+    x, f = with_fields(spans, ["start", "end"], core=lambda s: F.regexp_replace(s["text"], "=+$", ""))
+    x, f = with_fields(x, f, alphabet=lambda s: _alphabet(s["core"]))
     x = F.filter(x, lambda s: s["alphabet"].isNotNull())
-    x, f = _with(x, f, k=lambda s: F.length(s["alphabet"]), n=lambda s: F.length(s["core"]).cast("double"),
+    x, f = with_fields(x, f, k=lambda s: F.length(s["alphabet"]), n=lambda s: F.length(s["core"]).cast("double"),
                  place=lambda s: F.transform(F.filter(F.split(s["core"], ""), lambda c: c != ""),
                                              lambda c: F.instr(s["alphabet"], c) - 1))
     # bin b of the alphabet has the places with floor(place * bins / k) = b
-    x, f = _with(x, f, bins=lambda s: F.greatest(F.lit(2), F.least(s["k"], F.floor(s["n"] / 5).cast("int"))))
-    x, f = _with(x, f, dealt=lambda s: F.transform(s["place"], lambda p: F.floor(p * s["bins"] / s["k"]).cast("int")),
+    x, f = with_fields(x, f, bins=lambda s: F.greatest(F.lit(2), F.least(s["k"], F.floor(s["n"] / 5).cast("int"))))
+    x, f = with_fields(x, f, dealt=lambda s: F.transform(s["place"], lambda p: F.floor(p * s["bins"] / s["k"]).cast("int")),
                  high=lambda s: F.transform(s["place"], lambda p: (2 * p >= s["k"]).cast("int")),
                  off=lambda s: F.transform(s["place"], lambda p: p - (s["k"] - 1) / 2))
 
@@ -115,18 +108,18 @@ def tested(spans: Column) -> Column:
         seen = lambda b: F.size(F.filter(s["dealt"], lambda d: d == b)).cast("double")
         return _sum(F.transform(F.sequence(F.lit(0), s["bins"] - 1), lambda b: F.pow(seen(b), 2) / expected(b))) - s["n"]
 
-    x, f = _with(x, f, chi=chi, above=lambda s: _sum(s["high"], 0).cast("double"),
+    x, f = with_fields(x, f, chi=chi, above=lambda s: _sum(s["high"], 0).cast("double"),
                  runs=lambda s: _sum(_next(s["high"], lambda a, b: (a != b).cast("int")), 1),
                  square=lambda s: _sum(F.transform(s["off"], lambda v: v * v)),
                  lag=lambda s: _sum(_next(s["off"], lambda a, b: a * b)), df=lambda s: (s["bins"] - 1).cast("double"))
-    x, f = _with(x, f, mean=lambda s: 2 * s["above"] * (s["n"] - s["above"]) / s["n"] + 1)
-    x, f = _with(x, f, var=lambda s: (s["mean"] - 1) * (s["mean"] - 2) / (s["n"] - 1))
-    x, f = _with(
+    x, f = with_fields(x, f, mean=lambda s: 2 * s["above"] * (s["n"] - s["above"]) / s["n"] + 1)
+    x, f = with_fields(x, f, var=lambda s: (s["mean"] - 1) * (s["mean"] - 2) / (s["n"] - 1))
+    x, f = with_fields(
         x, f,
         z_chi=lambda s: (F.pow(F.greatest(s["chi"], F.lit(0.0)) / s["df"], 1 / 3) - (1 - 2 / (9 * s["df"]))) / F.sqrt(2 / (9 * s["df"])),
         z_runs=lambda s: F.when(s["var"] > 0, F.abs(s["runs"] - s["mean"]) / F.sqrt(s["var"])).otherwise(F.lit(9.0)),
         z_serial=lambda s: F.when(s["square"] > 0, F.abs(s["lag"] / s["square"]) * F.sqrt(s["n"])).otherwise(F.lit(9.0)))
-    x, f = _with(x, f, p=lambda s: F.least(F.lit(1.0), 3 * F.greatest(F.lit(0.0), F.least(
+    x, f = with_fields(x, f, p=lambda s: F.least(F.lit(1.0), 3 * F.greatest(F.lit(0.0), F.least(
         _tail(s["z_chi"]), 2 * _tail(s["z_runs"]), 2 * _tail(s["z_serial"])))))
     return F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                              _class(s["n"]).alias("class"), _bin(s["p"]).alias("bin")))

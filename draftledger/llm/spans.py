@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +37,13 @@ def matches(df, name: str, text: str, pattern: str, hint: str | None = None):
     return df.withColumn(name, spans).drop(found, parts)
 
 
+def with_fields(spans: Column, fields: list[str], **new) -> tuple[Column, list[str]]:
+    """Spans with further fields, each from the fields so far, so that each is computed once."""
+    out = F.transform(spans, lambda s: F.struct(*[s[f].alias(f) for f in fields],
+                                                *[make(s).alias(name) for name, make in new.items()]))
+    return out, [*fields, *new]
+
+
 def digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -77,6 +82,3 @@ def redacted(text: Column, spans: Column, mark) -> Column:
         acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)
 
-
-def either(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, parts)
