@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, mixing, pii, quality, secrets, simhash, toxicity, warc
+from draftledger.llm import decontaminate, extract, mixing, pii, quality, secret_scan, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
-    "op3_secrets": secrets.query,
+    "op2_extract": extract.query,
+    "op3_secrets": secret_scan.query,
     "op4_mixing": mixing.query,
     "op6_quality": quality.query,
     "op7_warc": warc.query,
