@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, extract, mixing, pii, quality, secret_scan, simhash, toxicity, warc
+from draftledger.llm import decontaminate, extract, mixing, passages, pii, quality, secret_scan, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op2_extract": extract.query,
     "op3_secrets": secret_scan.query,
     "op4_mixing": mixing.query,
+    "op5_passages": passages.query,
     "op6_quality": quality.query,
     "op7_warc": warc.query,
     "op8_decontaminate": decontaminate.query,
