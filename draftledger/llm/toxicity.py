@@ -7,10 +7,10 @@ Training (labelled rows whose crc32(doc_id as text) mod 5 is not 0, a bounded sa
   and the toxic dictionary is trained on those passages of the toxic texts; the ordinary
   dictionary is trained on the windows of ordinary texts. Both serve as plain content, without
   entropy tables, so that a window's literals cost the same under either;
-* a logistic model turns a text's window lengths into a calibrated score, fitted on the part of
-  the sample the dictionaries have not seen, weighted to the label counts of the whole table.
+* a logistic model turns a text's window lengths into a calibrated score, fitted on texts that
+  their dictionaries have not seen, weighted to the share of toxic labels in the whole table.
 
-Scoring: the whole text is cut into windows of ``WINDOW`` bytes at spaces; each is compressed
+Scoring: the whole text is cut at spaces into windows, twice, of each of ``WINDOWS`` bytes; each is compressed
 without a dictionary, with the ordinary one and with the toxic one. What counts is how much
 shorter the toxic dictionary makes it, against both others.
 
@@ -36,18 +36,23 @@ from draftledger.llm.common import load, pack, unpack
 #: The sample's bounds: documents of each class and bytes of one document. Longer documents are
 #: scored like any other; they are only not learned from.
 MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 3000, 8000, 32 * 1024
-WINDOW = 256
-DICTIONARY = 2048
+#: Bytes of a window. In long ones a match costs little beside the others; in short ones hardly
+#: anything but a telling word changes the length.
+WINDOWS = (256, 48)
+DICTIONARY = 4096
 LEVEL, MIN_MATCH, SEGMENT = 3, 5, 64
-#: A telling word or beginning of words is in at least this share of the toxic texts, and there at
-#: least so many times as often as in ordinary texts.
-TELL_SHARE, TELL_TIMES = 0.01, 20
+#: A telling word or beginning of words is in toxic texts so many times as often as in ordinary ones,
+#: and that by chance with a probability of at most e to the power of -TELL_SURPRISE.
+TELL_TIMES, TELL_SURPRISE = 10, 9
+#: The score is fitted on texts that their dictionaries were not trained on: each fold's dictionaries
+#: are trained on the others.
+FOLDS = 3
 THRESHOLD = 0.5
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
-def windows(text: str, size: int = WINDOW) -> list[bytes]:
+def windows(text: str, size: int) -> list[bytes]:
     data = text.encode("utf-8", "surrogatepass")
     out, at, n = [], 0, len(data)
     while at < n:
@@ -60,11 +65,11 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def _compressor(dictionary: bytes | None):
+def _compressor(dictionary: bytes | None, size: int):
     import zstandard
 
     params = zstandard.ZstdCompressionParameters.from_level(
-        LEVEL, source_size=WINDOW, dict_size=len(dictionary or b""), min_match=MIN_MATCH,
+        LEVEL, source_size=size, dict_size=len(dictionary or b""), min_match=MIN_MATCH,
         write_content_size=0, write_dict_id=0, write_checksum=0)
     data = dictionary and zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(compression_params=params, **({"dict_data": data} if data else {}))
@@ -73,21 +78,26 @@ def _compressor(dictionary: bytes | None):
 class Lengths:
     """Window lengths of a text under no, the ordinary and the toxic dictionary, as features."""
 
-    N = 10
+    EACH = 9
+    N = EACH * len(WINDOWS) + 1
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.by = [_compressor(None).compress, _compressor(ordinary).compress, _compressor(toxic).compress]
+        self.by = [(size, [_compressor(d, size).compress for d in (None, ordinary, toxic)]) for size in WINDOWS]
 
     def features(self, text: str | None) -> np.ndarray:
-        pieces = windows(text or "")
-        if not pieces:
-            return np.zeros(self.N)
-        plain, ordinary, toxic = (np.array([len(f(w)) for w in pieces], dtype=float) for f in self.by)
-        gain, ahead = plain - toxic, ordinary - toxic
-        top = np.concatenate([np.sort(gain)[::-1][:3], np.zeros(3)])
-        return np.array([top[0], top[1], top[2], gain.mean(), np.maximum(gain - 2, 0).mean(),
-                         math.log1p(np.maximum(gain - 1, 0).sum()), math.log(len(pieces)),
-                         ahead.max(), ahead.mean(), np.maximum(ahead - 2, 0).mean()])
+        out = np.zeros(self.N)
+        if not text:
+            return out
+        for k, (size, compress) in enumerate(self.by):
+            pieces = windows(text, size)
+            plain, ordinary, toxic = (np.array([len(f(w)) for w in pieces], dtype=float) for f in compress)
+            gain, ahead = plain - toxic, ordinary - toxic
+            top = np.concatenate([np.sort(gain)[::-1][:3], np.zeros(3)])
+            out[k * self.EACH:(k + 1) * self.EACH] = (
+                top[0], top[1], top[2], gain.mean(), np.maximum(gain - 2, 0).mean(),
+                math.log1p(np.maximum(gain - 1, 0).sum()), ahead.max(), ahead.mean(), np.maximum(ahead - 2, 0).mean())
+        out[-1] = math.log(len(pieces))
+        return out
 
 
 def _no_copies(texts: list[str]) -> list[str]:
@@ -115,9 +125,15 @@ def telling_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
         return n
 
     a, b = documents_with(toxic), documents_with(ordinary)
-    least = max(4, TELL_SHARE * len(toxic))
-    return {w for w, n in a.items()
-            if n >= least and n / len(toxic) >= TELL_TIMES * (b[w] + 0.5) / max(1, len(ordinary))}
+    share = len(toxic) / (len(toxic) + len(ordinary))
+
+    def surprise(n: int, total: int) -> float:
+        """Bound of the log chance that n or more of total documents are toxic, if the word told nothing."""
+        rate = n / total
+        return total * (rate * math.log(rate / share) + ((1 - rate) * math.log((1 - rate) / (1 - share)) if n < total else 0))
+
+    return {w for w, n in a.items() if n / len(toxic) >= TELL_TIMES * b[w] / max(1, len(ordinary)) and n >= 4
+            and surprise(n, n + b[w]) >= TELL_SURPRISE}
 
 
 def _trained(samples: list[bytes]) -> bytes:
@@ -137,7 +153,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
         found = [w for w in _WORD.findall(text.lower().encode("utf-8", "surrogatepass")) if any(s in tells for s in _starts(w))]
         if found:
             passages.append(b" " + b"  ".join(found) + b" ")
-    plain = [w for text in ordinary for w in windows(text)]
+    plain = [w for text in ordinary for w in windows(text, WINDOWS[0])]
     return _trained(plain), _trained(passages * 3)
 
 
@@ -158,12 +174,15 @@ def fit(sample: list[tuple[str, int]], share: float) -> dict:
     by = {y: _no_copies([t for t, label in sample if label == y]) for y in (0, 1)}
     if not by[0] or not by[1]:
         return {"constant": share}
-    cut = {y: max(1, len(by[y]) * 2 // 3) for y in by}
-    ordinary, toxic = dictionaries(by[1][:cut[1]], by[0][:cut[0]])
-    held = [(t, y) for y in (0, 1) for t in (by[y][cut[y]:] or by[y])]
-    lengths = Lengths(ordinary, toxic)
-    x = np.array([lengths.features(t) for t, _ in held])
-    y = np.array([label for _, label in held], dtype=float)
+    x, y = [], []
+    for fold in range(FOLDS):
+        rest = {k: [t for i, t in enumerate(by[k]) if i % FOLDS != fold] or by[k] for k in by}
+        lengths = Lengths(*dictionaries(rest[1], rest[0]))
+        for k in by:
+            x += [lengths.features(t) for t in by[k][fold::FOLDS]]
+            y += [float(k)] * len(by[k][fold::FOLDS])
+    x, y = np.array(x), np.array(y)
+    ordinary, toxic = dictionaries(by[1], by[0])
     share = min(max(share, 0.01), 0.99)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
