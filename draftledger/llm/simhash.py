@@ -191,7 +191,9 @@ def links(prints: DataFrame, radius: int = RADIUS, lanes: int = LANES) -> DataFr
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1),
                         lambda other: F.least(own, other) * blocks + F.greatest(own, other))
     dealt = rows.join(full, "bucket").select("bucket", "fp", F.explode(pairs).alias("part"))
-    return (dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    # comparing costs far more than the rows weigh, so the number of tasks is not left to their size
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (dealt.repartition(tasks, "bucket", "part").sortWithinPartitions("bucket", "part")
             .mapInPandas(_compare(radius), "a long, b long"))
 
 
