@@ -12,6 +12,9 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 MONEY_NOISE = r"[$,\s]"              # characters removed from scraped money text
 
 
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -42,8 +45,22 @@ def share(part, total, digits: int = 4) -> Column:
 
 
 def lenient_int(c) -> Column:
-    """Text to INT the tolerant way: '1.6' -> 2, 'abc' -> NULL, out of range -> NULL."""
-    return F.round(col(c).try_cast("double"), 0).try_cast("int")
+    """Text to INT the tolerant way: '1.6' -> 2, 'abc' -> NULL, out of range -> NULL. A number has
+    decimal digits (single underscores between them) with an optional sign, point and
+    exponent, or is written in base 16 or 2 ('0x1F', '0b11'); '1d' is none."""
+    text = F.regexp_replace(col(c).cast("string"), r"(?<=\d)_(?=\d)", "")
+    other = [F.conv(F.substring(text, 3, 32), base, 10).try_cast("int") for base in (16, 2)]
+    return (F.when(text.rlike(NUMBER_TEXT), F.round(text.try_cast("double"), 0).try_cast("int"))
+            .when(text.rlike("^0[xX][0-9a-fA-F]{1,16}$"), other[0])
+            .when(text.rlike("^0[bB][01]{1,30}$"), other[1]))
+
+
+def strict_int(c) -> Column:
+    """Text to INT as ``lenient_int`` reads it, but text that is no number is an error. NULL
+    stays NULL."""
+    text = col(c).cast("string")
+    return F.when(text.isNull() | lenient_int(c).isNotNull(), lenient_int(c)).otherwise(
+        F.raise_error(F.concat(F.lit("not a number: "), text)).cast("int"))
 
 
 def money_text_to_long(c) -> Column:

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from draftledger.session import materialize
+
+# Buckets of picks that one task joins with their candidates.
+BUCKETS_PER_TASK = 4
 # Bucket used for rows whose order value is NULL in ``later_and_better``.
 NULL_BUCKET = -(2 ** 62)
 
@@ -66,10 +70,13 @@ def later_and_better(picks: DataFrame, cands: DataFrame, pick: str, score: str,
     # non-decreasing in the pick number, so "later pick" never points to an earlier bucket,
     # and the number of buckets (hence each candidate's copies) is bounded by the league's
     # pick count however sparse the pick numbers are.
-    span = (picks.filter(F.col(pick).isNotNull()).groupBy(*by)
-            .agg(F.min(pick).cast("bigint").alias("_lb_lo"), F.max(pick).cast("bigint").alias("_lb_hi"),
-                 F.count(pick).alias("_lb_n"))
-            .withColumn("_lb_nb", F.expr(f"(_lb_n + {width} - 1) div {width}")))
+    # The spans have one row per league. They are written once: their size is then known, so the
+    # joins below broadcast them when they are small, and otherwise a hot league's rows can be
+    # split, as both sides are exchanged for the join alone.
+    span = materialize(picks.filter(F.col(pick).isNotNull()).groupBy(*by)
+                       .agg(F.min(pick).cast("bigint").alias("_lb_lo"), F.max(pick).cast("bigint").alias("_lb_hi"),
+                            F.count(pick).alias("_lb_n"))
+                       .withColumn("_lb_nb", F.expr(f"(_lb_n + {width} - 1) div {width}")), "spans")
 
     def bucket_of(c: str) -> F.Column:
         return F.expr(f"((CAST({c} AS BIGINT) - _lb_lo) * _lb_nb) div (_lb_hi - _lb_lo + 1)")
@@ -95,8 +102,10 @@ def later_and_better(picks: DataFrame, cands: DataFrame, pick: str, score: str,
              .filter(F.col("_lb_bucket").isNotNull()))
     # Both sides hash-partitioned on (league, bucket) with an explicit partition count: the
     # inputs are small but the output is quadratic, so AQE must not fold the join into a
-    # few tasks; the sort-merge join reuses this partitioning (no further exchange).
-    parts = int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few tasks; the sort-merge join reuses this partitioning (no further exchange). The
+    # count follows the data: a task for every few buckets of all leagues together.
+    buckets = span.agg(F.coalesce(F.sum("_lb_nb"), F.lit(0))).first()[0]
+    parts = max(int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-buckets // BUCKETS_PER_TASK))
     left = left.repartition(parts, *[F.col(c) for c in by], F.col("_lb_bucket"))
     right = right.repartition(parts, *[F.col(c) for c in by], F.col("_lb_bucket"))
     right = right.withColumnsRenamed({c: f"_lb_r_{c}" for c in by})

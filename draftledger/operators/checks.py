@@ -20,28 +20,34 @@ def missing_picks(draft: DataFrame, base_query: DataFrame) -> DataFrame:
     return draft.select("draft_id", "movie").join(released, ["draft_id", "movie"], "left_anti").distinct()
 
 
-def newest_snapshot_floor(snap: DataFrame, season: Season) -> DataFrame:
+def in_season(snap: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
+    """The snapshots of the season; with ``years`` of each league's own, also from a history that
+    all leagues share (then every league gets the rows of its year)."""
+    if years is None:
+        return snap.filter(F.col("release_year") == F.lit(season.year_text))
+    own = years.select("draft_id", F.col("year").cast("string").alias("release_year")).distinct()
+    return snap.join(own, [c for c in ("draft_id", "release_year") if c in snap.columns])
+
+
+def newest_snapshot_floor(snap: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
     """A7 (+W9): per league, the newest in-season snapshot day and the smallest revenue on it.
 
-    ``max(struct(day, -revenue))`` finds both in one map-side-combined aggregation: the
-    newest day wins, and among its rows the largest negated revenue is the smallest
-    revenue (NULL revenues sort below any number, as NULLS LAST does for the minimum).
+    Two hash aggregates: the smallest revenue of each (league, day), NULL only if the day has
+    nothing else, then the day's that is newest.
     """
-    in_season = snap.filter(F.col("release_year") == F.lit(season.year_text))
-    top = in_season.groupBy("draft_id").agg(
-        F.max(F.struct(F.col("loaded_date"), (-F.col("revenue")).alias("neg"))).alias("_t"))
-    return top.select("draft_id", F.col("_t.loaded_date").alias("newest_date"),
-                      (-F.col("_t.neg")).alias("min_revenue"))
-
-
-def under_floor_titles(snap: DataFrame, base_query: DataFrame, season: Season) -> DataFrame:
-    """Released titles whose newest in-season revenue is at or below that floor."""
-    in_season = snap.filter(F.col("release_year") == F.lit(season.year_text))
-    latest = (in_season.groupBy("draft_id", "title")
-              .agg(F.max(F.struct("loaded_date", "revenue")).alias("_l"))
-              .select("draft_id", "title", F.col("_l.revenue").alias("revenue")))
-    floor = newest_snapshot_floor(snap, season)
-    return (latest.join(base_query.select("draft_id", "title"), ["draft_id", "title"])
+    rows = in_season(snap, season, years)
+    by_day = rows.groupBy("draft_id", "loaded_date").agg(F.min("revenue").alias("_least"))
+    return by_day.groupBy("draft_id").agg(F.max("loaded_date").alias("newest_date"),
+                                          F.max_by("_least", "loaded_date").alias("min_revenue"))
+
+
+def under_floor_titles(state: DataFrame, snap: DataFrame, released: DataFrame, season: Season,
+                       years: DataFrame | None = None) -> DataFrame:
+    """Released titles whose newest in-season revenue (from the per-title state that scored
+    them) is at or below that floor."""
+    latest = state.select("draft_id", "title", "revenue")
+    floor = newest_snapshot_floor(snap, season, years)
+    return (latest.join(released.select("draft_id", "title"), ["draft_id", "title"])
             .join(floor, "draft_id")
             .filter(F.col("revenue") <= F.col("min_revenue"))
             .select("draft_id", "title", "revenue", "min_revenue"))
@@ -53,14 +59,18 @@ def draft_order(draft: DataFrame) -> DataFrame:
             .groupBy("draft_id", "name").agg(F.min("overall_pick").alias("first_pick")))
 
 
-def league_done(base_query: DataFrame, leagues: DataFrame, season: Season) -> DataFrame:
+def league_done(released: DataFrame, leagues: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
     """A league is finished when it has released titles, none still showing, and its
-    season lies before the year of the run."""
-    per = base_query.groupBy("draft_id").agg(
+    season (its own year if ``years`` has one per league) lies before the year of the run."""
+    per = released.groupBy("draft_id").agg(
         F.count(F.lit(1)).alias("released_count"),
         F.every(F.col("still_in_theaters") == "No").alias("_all_no"))
-    past = F.lit(season.year < season.run_date.year)
     out = leagues.select("draft_id").distinct().join(per, "draft_id", "left")
+    if years is None:
+        past = F.lit(season.year < season.run_date.year)
+    else:
+        out = out.join(years.select("draft_id", F.col("year").alias("_year")).distinct(), "draft_id", "left")
+        past = F.coalesce(F.col("_year") < season.run_date.year, F.lit(False))
     done = F.coalesce(F.col("_all_no"), F.lit(False)) & (F.coalesce("released_count", F.lit(0)) > 0) & past
     return out.select("draft_id", F.coalesce("released_count", F.lit(0).cast("bigint")).alias("released_count"),
                       done.alias("done"))
@@ -68,7 +78,11 @@ def league_done(base_query: DataFrame, leagues: DataFrame, season: Season) -> Da
 
 def freshness(snap: DataFrame, done: DataFrame, season: Season) -> DataFrame:
     """A5 + P20: newest publish time per league and the status text shown with it."""
-    newest = snap.groupBy("draft_id").agg(F.max("published_timestamp_utc").alias("data_through"))
+    if "draft_id" in snap.columns:
+        newest = snap.groupBy("draft_id").agg(F.max("published_timestamp_utc").alias("data_through"))
+    else:  # one history for all leagues has one newest time
+        of_all = snap.agg(F.max("published_timestamp_utc").alias("data_through")).withColumn("_all", F.lit(1))
+        newest = done.select("draft_id", F.lit(1).alias("_all")).join(of_all, "_all").drop("_all")
     run = F.date_format(F.lit(season.run_time).cast("timestamp"), TIMESTAMP_TEXT)
     text = F.concat(
         F.lit(LAST_UPDATED + "\n"), run, F.lit(" UTC"),
@@ -91,6 +105,15 @@ def duplicate_leagues(configs: DataFrame) -> DataFrame:
             .select("draft_id", "n_configs", "first_config", "second_config"))
 
 
+def require_unique_leagues(configs: DataFrame) -> None:
+    """A9 as the run's guard: stop when any league id is declared more than once."""
+    named = configs.select("draft_id", "config_name").distinct()
+    twice = named.groupBy("draft_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    some = [f"{r['draft_id']} ({r['n']} configurations)" for r in twice.orderBy("draft_id").limit(20).collect()]
+    if some:
+        raise ValueError("league ids declared more than once: " + ", ".join(some))
+
+
 def drafter_scoreboard(draft: DataFrame, board: DataFrame) -> DataFrame:
     """one standings row for every drafter of every league; zeros when nothing released."""
     names = draft_order(draft).select("draft_id", F.col("name").alias("drafted_by_name"))

@@ -15,7 +15,7 @@ def clean_snapshots(raw: DataFrame) -> DataFrame:
     dom = F.col("domestic_rev").cast("bigint")
     fgn = F.col("foreign_rev").cast("bigint")
     return raw.select(
-        "draft_id", "title",
+        *[c for c in ("draft_id", "title") if c in raw.columns],
         F.when(rev == 0, dom + fgn).otherwise(rev).alias("revenue"),
         dom.alias("domestic_rev"),
         fgn.alias("foreign_rev"),
@@ -63,5 +63,5 @@ def exclusions(rules: DataFrame) -> DataFrame:
 def round_multipliers(round_ov: DataFrame) -> DataFrame:
     """Round overrides keyed by an INT round for the join with picks (text round that is
     not a number matches nothing)."""
-    return round_ov.select("draft_id", F.col("round").try_cast("int").alias("round"),
+    return round_ov.select("draft_id", lenient_int("round").alias("round"),
                            F.col("multiplier").alias("round_multiplier"))

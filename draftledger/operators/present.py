@@ -20,12 +20,12 @@ BEST_HEADINGS = ["Rank", "Title", "Drafted By", "Overall Pick", "Positions Gaine
 PICKS_HEADINGS = ["Round", "Overall Pick", "Movie", "First Seen Date", "Still In Theaters", "Revenue",
                   "Multiplier", "Scored Revenue", "Better Pick", "Better Pick Scored Revenue"]
 
-# Fixed layout constants of the dashboard sheet.
-HEADER_ROWS_ABOVE_STANDINGS = 5
-GAP_BELOW_STANDINGS = 2
-RELEASED_MARGIN = 3
-MIN_ROWS_PER_TABLE = 2
-SEPARATOR_ROWS = 2
+# Fixed values of the dashboard sheet, in rows.
+ROWS_BEFORE_STANDINGS = 5
+ROWS_AFTER_STANDINGS = 2
+ROWS_KEPT_FREE = 3
+LEAST_ROWS = 2
+ROWS_BETWEEN = 2
 
 
 def released_movies(base_query: DataFrame) -> DataFrame:
@@ -39,61 +39,56 @@ def released_movies(base_query: DataFrame) -> DataFrame:
     return read_model(shown, ["draft_id"] + RELEASED_HEADINGS)
 
 
-def _text(c) -> F.Column:
-    return F.coalesce(c.cast("string"), F.lit(""))
+def draftee_tabs(dashboard: DataFrame) -> DataFrame:
+    """K3 + P18 + S7: each drafter's picks under display headings. Numbers keep their type and
+    value; a missing text is blank, a missing (or NaN, infinite) number NULL, which a sheet
+    shows as an empty cell. Written partitioned by (draft_id, draftee_name): one job, no loop."""
+    blank = {c: F.coalesce(c, F.lit("")) for c in ("movie", "first_seen_date", "still_in_theaters", "better_pick")}
+    shown = dashboard.withColumns(blank).select(
+        "draft_id", "draftee_name", "round", "overall_pick", "movie", "first_seen_date", "still_in_theaters", "revenue",
+        "multiplier", "scored_revenue", "better_pick", "better_pick_scored_revenue")
+    return read_model(shown, ["draft_id", "draftee_name"] + PICKS_HEADINGS)
 
 
-def draftee_tabs(dashboard: DataFrame) -> DataFrame:
-    """K3 + P18: each drafter's picks under display headings, every cell as text and NULL as
-    an empty cell. Written partitioned by (draft_id, draftee_name): one job, no loop."""
-    return dashboard.select(
-        "draft_id", "draftee_name",
-        _text(F.col("round")).alias("Round"),
-        _text(F.col("overall_pick")).alias("Overall Pick"),
-        _text(F.col("movie")).alias("Movie"),
-        _text(F.col("first_seen_date")).alias("First Seen Date"),
-        _text(F.col("still_in_theaters")).alias("Still In Theaters"),
-        _text(F.col("revenue")).alias("Revenue"),
-        _text(F.col("multiplier")).alias("Multiplier"),
-        _text(F.col("scored_revenue").cast("bigint")).alias("Scored Revenue"),
-        _text(F.col("better_pick")).alias("Better Pick"),
-        _text(F.col("better_pick_scored_revenue").cast("decimal(38,2)")).alias("Better Pick Scored Revenue"),
-    )
-
-
-def row_budget(leagues: DataFrame, board: DataFrame, base_query: DataFrame, worst: DataFrame,
+def drafter_scoreboards(board: DataFrame) -> DataFrame:
+    """K3: the one-row scoreboard on each drafter's tab, under its five headings."""
+    shown = board.select("draft_id", "drafted_by_name", "scored_revenue", "num_released",
+                         "correctly_drafted_pick_count", "correct_pick_pct", "unadjusted_revenue")
+    return read_model(shown, ["draft_id", "draftee_name"] + SCOREBOARD_HEADINGS[1:])
+
+
+def row_budget(leagues: DataFrame, board: DataFrame, released: DataFrame, worst: DataFrame,
                best: DataFrame) -> DataFrame:
-    """O3: per league, how many worst and best picks fit beside the released table."""
-    def count(df, name):
-        return df.groupBy("draft_id").agg(F.count(F.lit(1)).alias(name))
-
-    j = leagues.select("draft_id").distinct()
-    for df, name in [(board, "scoreboard_length"), (base_query, "released_length"),
-                     (worst, "worst_length"), (best, "best_length")]:
-        j = j.join(count(df, name), "draft_id", "left")
-    j = j.fillna(0, ["scoreboard_length", "released_length", "worst_length", "best_length"])
-    sb, rel, wl, bl = (F.col(c) for c in ["scoreboard_length", "released_length", "worst_length", "best_length"])
-    available = rel - sb - RELEASED_MARGIN
-    both = (available >= MIN_ROWS_PER_TABLE * 2 + SEPARATOR_ROWS) & (wl > 1) & (bl > 1)
-    usable = available - 2 - SEPARATOR_ROWS
-    half = F.floor(usable / 2).cast("bigint")
-    worst_h = (F.when(both, F.least(half, wl))
-               .when((available > 0) & (wl > 1), F.least(available, wl))
-               .otherwise(F.lit(0).cast("bigint")))
-    picks_row = sb + HEADER_ROWS_ABOVE_STANDINGS + GAP_BELOW_STANDINGS
-    j = j.select("draft_id", "scoreboard_length", "released_length", "worst_length", "best_length",
-                 available.alias("available_height"), picks_row.alias("worst_picks_row_num"),
-                 both.alias("add_both_picks_tables"), worst_h.alias("worst_picks_height"),
-                 usable.alias("_usable"))
-    return j.select(
-        "*",
-        F.when(F.col("add_both_picks_tables"),
-               F.col("worst_picks_row_num") + 1 + F.col("worst_picks_height") + SEPARATOR_ROWS)
-         .alias("best_picks_row_num"),
-        F.when(F.col("add_both_picks_tables"), F.least(F.col("_usable") - F.col("worst_picks_height"), bl))
-         .otherwise(F.lit(0).cast("bigint")).alias("best_picks_height"),
-        ((F.col("worst_picks_height") > 0) & (wl > 1)).alias("add_picks_table"),
-    ).drop("_usable")
+    """O3: per league, how many worst and best picks fit beside the released table.
+
+    Only the lengths of the tables count, so their rows need no rank: one aggregate over the
+    rows of all four, each marked with its table. The output names are fixed.
+    """
+    lengths = ["scoreboard_length", "released_length", "worst_length", "best_length"]
+    marked = leagues.select("draft_id", F.lit(-1).alias("t"))
+    for i, df in enumerate([board, released, worst, best]):
+        marked = marked.unionByName(df.select("draft_id", F.lit(i).alias("t")))
+    n = marked.groupBy("draft_id").agg(
+        F.count_if(F.col("t") == -1).alias("_known"),
+        *[F.count_if(F.col("t") == i).alias(name) for i, name in enumerate(lengths)]).filter("_known > 0")
+    free = F.col("released_length") - F.col("scoreboard_length") - ROWS_KEPT_FREE
+    two = (free >= 2 * LEAST_ROWS + ROWS_BETWEEN) & (F.col("worst_length") > 1) & (F.col("best_length") > 1)
+    n = n.withColumns({
+        "available_height": free,
+        "worst_picks_row_num": F.col("scoreboard_length") + ROWS_BEFORE_STANDINGS + ROWS_AFTER_STANDINGS,
+        "add_both_picks_tables": two,
+        "_shared": free - LEAST_ROWS - ROWS_BETWEEN})
+    none = F.lit(0).cast("bigint")
+    n = n.withColumn("worst_picks_height", F.when(
+        F.col("add_both_picks_tables"), F.least(F.floor(F.col("_shared") / 2).cast("bigint"), F.col("worst_length"))).when(
+        (F.col("available_height") > 0) & (F.col("worst_length") > 1), F.least("available_height", "worst_length")).otherwise(none))
+    below = F.col("worst_picks_row_num") + 1 + F.col("worst_picks_height") + ROWS_BETWEEN
+    return n.select(
+        "draft_id", *lengths, "available_height", "worst_picks_row_num", "add_both_picks_tables", "worst_picks_height",
+        F.when(F.col("add_both_picks_tables"), below).alias("best_picks_row_num"),
+        F.when(F.col("add_both_picks_tables"), F.least(F.col("_shared") - F.col("worst_picks_height"), F.col("best_length")))
+         .otherwise(none).alias("best_picks_height"),
+        ((F.col("worst_picks_height") > 0) & (F.col("worst_length") > 1)).alias("add_picks_table"))
 
 
 def budgeted_picks(layout: DataFrame, worst: DataFrame, best: DataFrame) -> DataFrame:
@@ -133,11 +128,10 @@ def dashboard_tables(board: DataFrame, base_query: DataFrame, layout: DataFrame,
             "dashboard_best_picks": picks("best", BEST_HEADINGS)}
 
 
-def write_league_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """K1/K2/K3: full refresh of each table under ``root/<name>``, partitioned by league.
-    Dynamic partition overwrite replaces only the leagues present in the frame, so one
-    league can be refreshed alone."""
-    for name, df in tables.items():
-        parts = ["draft_id", "draftee_name"] if "draftee_name" in df.columns and name.startswith("draftee_tab") else ["draft_id"]
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(f"{root}/{name}"))
+def write_league_table(name: str, df: DataFrame, root: str, version: str) -> str:
+    """K1/K2/K3: one table of one version, partitioned by league (and drafter for the tabs).
+    Returns its folder."""
+    parts = ["draft_id", "draftee_name"] if "draftee_name" in df.columns and "draft" in name and name != "draftee_dashboard" else ["draft_id"]
+    path = f"{root}/{name}/version={version}"
+    df.write.partitionBy(*parts).parquet(path)
+    return path

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftledger.functions.columns import asc, days_until, desc, display_date, share
+from draftledger.functions.columns import asc, days_until, desc, display_date, lenient_int, share
 from draftledger.functions.windows import row_number_within
 from draftledger.params import Season
 
@@ -19,25 +19,38 @@ BASE_QUERY_COLUMNS = ["draft_id", "rank", "title", "drafted_by", "revenue", "sco
                       "first_seen_date", "still_in_theaters"]
 
 
-def released_picks(scored: DataFrame, best: DataFrame, season: Season) -> DataFrame:
-    """M4 (J9, F3, W4, P8-P11): drafted titles ranked by score, with the best alternative,
-    display date and the status label."""
+def released_rows(scored: DataFrame, season: Season) -> DataFrame:
+    """M4 before rank and alternative (F3, P8-P11): drafted titles with display date and status
+    label. What needs neither rank nor alternative reads these rows."""
     drafted = scored.filter(F.col("drafted_by").isNotNull())
-    joined = drafted.join(best, ["draft_id", "overall_pick"], "left")
     label = (F.when(F.col("scored_revenue") == 0, F.lit("No"))
              .when(F.col("still_in_theaters")
                    | (days_until("first_seen_date", season.as_of) <= season.window_days), F.lit("Yes"))
              .otherwise(F.lit("No")))
-    shaped = joined.select(
+    return drafted.select(
         "draft_id", "title", "drafted_by", "revenue", "scored_revenue", "round", "overall_pick",
         "multiplier", "domestic_rev", "domestic_pct", "foreign_rev", "foreign_pct",
-        F.coalesce("better_pick_title", F.lit("")).alias("better_pick_title"),
-        F.coalesce("better_pick_scored_revenue", F.lit(0.0)).alias("better_pick_scored_revenue"),
         display_date("first_seen_date").alias("first_seen_date"),          # P9
         label.alias("still_in_theaters"),                                  # P10 + P11
     )
-    ranked = row_number_within(shaped, LEAGUE, score_order(), "rank")
-    return ranked.select(*BASE_QUERY_COLUMNS)
+
+
+def ranked_rows(released: DataFrame) -> DataFrame:
+    """Released titles ranked by score."""
+    return row_number_within(released, LEAGUE, score_order(), "rank")
+
+
+def with_alternative(released: DataFrame, best: DataFrame) -> DataFrame:
+    """Each row's best alternative, blank and zero when nothing beats the pick. The
+    alternatives have one row per pick, so a reader of other columns never runs the join."""
+    return released.join(best, ["draft_id", "overall_pick"], "left").withColumns({
+        "better_pick_title": F.coalesce("better_pick_title", F.lit("")),
+        "better_pick_scored_revenue": F.coalesce("better_pick_scored_revenue", F.lit(0.0))})
+
+
+def released_picks(ranked: DataFrame, best: DataFrame) -> DataFrame:
+    """M4: the ranked released titles with their best alternatives."""
+    return with_alternative(ranked, best).select(*BASE_QUERY_COLUMNS)
 
 
 def score_order() -> list:
@@ -74,28 +87,42 @@ def standings_order(board: DataFrame) -> DataFrame:
                                              asc("drafted_by_name")], "position")
 
 
-def best_picks(base_query: DataFrame) -> DataFrame:
-    """M6 (W5, J10, P17, F6, W6): picks that finished above their draft slot."""
-    drafted = base_query.filter(F.col("drafted_by").isNotNull()).select(
-        "draft_id", "title", "drafted_by", F.col("overall_pick").alias("draft_order_rank"), "scored_revenue")
-    gains = (drafted.join(revenue_rank(base_query), ["draft_id", "title"])
-             .withColumn("gap", F.col("draft_order_rank") - F.col("revenue_order_rank"))
-             .filter((F.col("gap") > 0) & (F.col("scored_revenue") > 0)))
-    ranked = row_number_within(gains, LEAGUE, [desc("gap"), asc("draft_order_rank"), asc("title")], "rank")
-    return ranked.select("draft_id", "rank", "title", "drafted_by",
-                         F.col("draft_order_rank").alias("overall_pick"),
-                         F.col("gap").alias("positions_gained"),
-                         F.col("scored_revenue").alias("actual_revenue"))
+def best_gains(ranked: DataFrame) -> DataFrame:
+    """Picks that finished above their draft slot, unranked.
+
+    The rank of a title is a column of its own row; only a title drafted more than once meets
+    several ranks, and only such titles are joined.
+    """
+    ranks = (ranked.groupBy("draft_id", "title").agg(F.collect_list("rank").alias("_ranks"))
+             .filter(F.size("_ranks") > 1))
+    rows = (ranked.select("draft_id", "title", "drafted_by", "overall_pick", "scored_revenue", "rank")
+            .filter(F.col("drafted_by").isNotNull()).join(ranks, ["draft_id", "title"], "left")
+            .withColumn("_rank", F.explode(F.coalesce("_ranks", F.array("rank")))))
+    gap = F.col("overall_pick") - F.col("_rank")
+    return rows.filter((gap > 0) & (F.col("scored_revenue") > 0)).select(
+        "draft_id", "title", "drafted_by", "overall_pick", gap.alias("positions_gained"),
+        F.col("scored_revenue").alias("actual_revenue"))
+
+
+def best_picks(gains: DataFrame) -> DataFrame:
+    """M6 (W6): the gains ranked."""
+    order = [desc("positions_gained"), asc("overall_pick"), asc("title")]
+    return row_number_within(gains, LEAGUE, order, "rank").select(
+        "draft_id", "rank", "title", "drafted_by", "overall_pick", "positions_gained", "actual_revenue")
+
+
+def worst_rows(released: DataFrame, stats: DataFrame) -> DataFrame:
+    """Picks beaten by later picks, unranked."""
+    return (released.select("draft_id", "title", "drafted_by", "overall_pick").join(stats, ["draft_id", "title"])
+            .filter(F.col("number_of_better_picks") > 0)
+            .withColumnRenamed("max_better_pick_revenue", "missed_revenue"))
 
 
-def worst_picks(base_query: DataFrame, stats: DataFrame) -> DataFrame:
-    """M7 (J11, F7, W7): picks beaten by later picks, largest miss first."""
-    joined = (base_query.join(stats, ["draft_id", "title"])
-              .filter(F.col("number_of_better_picks") > 0))
-    ranked = row_number_within(joined, LEAGUE, [desc("max_better_pick_revenue"), desc("number_of_better_picks"),
-                                                asc("overall_pick"), asc("title")], "rank")
-    return ranked.select("draft_id", "rank", "title", "drafted_by", "overall_pick", "number_of_better_picks",
-                         F.col("max_better_pick_revenue").alias("missed_revenue"))
+def worst_picks(rows: DataFrame) -> DataFrame:
+    """M7 (W7): largest miss first."""
+    order = [desc("missed_revenue"), desc("number_of_better_picks"), asc("overall_pick"), asc("title")]
+    return row_number_within(rows, LEAGUE, order, "rank").select(
+        "draft_id", "rank", "title", "drafted_by", "overall_pick", "number_of_better_picks", "missed_revenue")
 
 
 def draftee_dashboard(draft: DataFrame, base_query: DataFrame, round_ov: DataFrame,
@@ -109,7 +136,7 @@ def draftee_dashboard(draft: DataFrame, base_query: DataFrame, round_ov: DataFra
                            F.col("scored_revenue").alias("_scored"),
                            F.col("better_pick_title").alias("_better"),
                            F.col("better_pick_scored_revenue").alias("_better_score"))
-    rmo = round_ov.select("draft_id", F.col("round").try_cast("int").alias("round"),
+    rmo = round_ov.select("draft_id", lenient_int("round").alias("round"),
                           F.col("multiplier").alias("_rmo"))
     mmo = movie_ov.select("draft_id", "movie", F.col("multiplier").alias("_mmo"))
     j = (draft.select("draft_id", "name", "round", "overall_pick", "movie")

@@ -1,8 +1,9 @@
 """Title scoring (M1): one row per title of the season with its pick, score and status.
 
-Per-title state is built from the snapshot history by aggregation (partial aggregation on
-the map side, so a title with a very long history never lands whole in one task), and
-the league inputs are joined to that small per-title table on (draft_id, title).
+Per-title state is built from the snapshot history in two passes that both cut a title's rows
+before the shuffle (a hash aggregate for the first day, a group limit for the newest
+snapshots), so a title with a very long history never lands whole in one task. The league inputs
+are joined to that small per-title table on (draft_id, title).
 """
 
 from __future__ import annotations
@@ -19,16 +20,65 @@ KEYS = ["draft_id", "title"]
 MONEY = ["revenue", "domestic_rev", "foreign_rev"]
 
 
-def season_latest(snap: DataFrame, season: Season) -> DataFrame:
-    """Per title: first day seen over the whole history (W1) and the newest in-season
-    snapshot (F1 + W2; ties on the day broken by the larger amounts). Titles without an
-    in-season snapshot are dropped. One aggregation, one shuffle."""
-    in_season = F.col("release_year") == F.lit(season.year_text)
-    newest = F.max(F.when(in_season, F.struct("loaded_date", *MONEY)))
-    agg = snap.groupBy(*KEYS).agg(F.min("loaded_date").alias("first_seen_date"), newest.alias("_n"))
-    return agg.filter(F.col("_n").isNotNull()).select(
+def newest_per_year(snap: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    """Per title its newest ``depth`` snapshots of every release year, newest first, as one array.
+
+    The row_number filter is planned with a map-side group limit, so a title with a long
+    history is cut down to a few rows before any shuffle; W2, W3 and J14 all read this array.
+    Ties on the day go to the larger amounts.
+    """
+    rows = snap.select(*keys, "release_year", "loaded_date", *MONEY)
+    order = [desc("loaded_date"), *[desc(c) for c in MONEY]]
+    top = top_n_per_key(rows, [*keys, "release_year"], order, depth, "_pos")
+    newest = F.sort_array(F.collect_list(F.struct("loaded_date", *MONEY, "release_year")), asc=False)
+    return top.groupBy(*keys).agg(newest.alias("_newest"))
+
+
+def _activity_columns(season: Season, intended: bool) -> dict:
+    def at(pos: int, c: str) -> F.Column:
+        return F.get("_newest", F.lit(pos))[c]
+
+    revenue, previous = at(0, "revenue"), at(1, "revenue")
+    week = at(7, "revenue") if intended else F.lit(None).cast("bigint")
+    days = days_until(at(0, "loaded_date"), season.as_of)
+    still = F.coalesce(((revenue != previous) | (revenue != week)) & (days <= season.window_days), F.lit(False))
+    return {"revenue": revenue, "last_day_revenue": previous, "revenue_7_days_ago": week,
+            "change_in_last_day": revenue != previous, "change_in_last_week": revenue != week,
+            "last_updated_date": at(0, "loaded_date"), "days_since_last_update": days, "still_in_theaters": still}
+
+
+def title_state(snap: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
+    """Per title of the season: its newest in-season snapshot (F1 + W2), the first day it was
+    seen over the whole history (W1, a hash aggregate) and whether it still earns (W3).
+
+    ``years``: one row (draft_id, year) per league, for leagues of different seasons; else the
+    one season holds for all. A history without ``draft_id`` is shared: its state is made
+    once per title and then given to every league of the title's year.
+    """
+    shared = "draft_id" not in snap.columns
+    keys = ["title"] if shared else KEYS
+    if shared and years is None:
+        raise ValueError("a shared history needs the leagues and their years")
+    seen = snap.groupBy(*keys).agg(F.min("loaded_date").alias("first_seen_date"))
+    newest = newest_per_year(snap, keys, 2)
+    on = newest[keys[0]].eqNullSafe(seen[keys[0]])
+    for k in keys[1:]:
+        on = on & newest[k].eqNullSafe(seen[k])
+    state = newest.join(seen, on).select(*[newest[k] for k in keys], "_newest", "first_seen_date")
+    state = state.withColumn("_act", _activity_columns(season, False)["still_in_theaters"])
+    if years is not None:
+        years = years.select("draft_id", F.col("year").cast("string").alias("_year")).distinct()
+    if shared:
+        by_year = state.withColumn("_year", F.explode(F.array_distinct(F.transform("_newest", lambda x: x["release_year"]))))
+        state = by_year.join(years, "_year")
+    elif years is not None:
+        state = state.join(years, "draft_id")
+    else:
+        state = state.withColumn("_year", F.lit(season.year_text))
+    state = state.withColumn("_n", F.get(F.filter("_newest", lambda x: x["release_year"] == F.col("_year")), F.lit(0)))
+    return state.filter(F.col("_n").isNotNull()).select(
         *KEYS, *[F.col(f"_n.{c}").alias(c) for c in MONEY],
-        F.col("_n.loaded_date").alias("loaded_date"), "first_seen_date")
+        F.col("_n.loaded_date").alias("loaded_date"), "first_seen_date", "_act")
 
 
 def first_seen(snap: DataFrame, excl: DataFrame) -> DataFrame:
@@ -37,11 +87,11 @@ def first_seen(snap: DataFrame, excl: DataFrame) -> DataFrame:
     return not_in(per_title, "title", excl, "movie")
 
 
-def latest_snapshot(snap: DataFrame, excl: DataFrame, season: Season) -> DataFrame:
+def latest_snapshot(state: DataFrame, excl: DataFrame) -> DataFrame:
     """J5 + W1 + F1 + W2 (= A1, the per-title sums are over one row): the season's newest
     snapshot of every non-excluded title. Exclusions remove whole titles, so they are applied
     to the per-title table instead of every snapshot row."""
-    return not_in(season_latest(snap, season), "title", excl, "movie")
+    return not_in(state, "title", excl, "movie")
 
 
 def exclude_titles(snap: DataFrame, excl: DataFrame) -> DataFrame:
@@ -56,36 +106,16 @@ def activity(snap: DataFrame, season: Season, intended: bool = False) -> DataFra
     snapshot is at most ``window_days`` old. The "changed in the last week" test compares
     with ``lag(revenue, 7)`` over a descending order, which is always NULL on the newest
     row, so it never fires; ``intended=True`` compares with the snapshot 7 rows older.
-    Only the newest 2 (or 8) rows per title are needed: the row_number filter is planned
-    with a map-side group limit.
     """
-    depth = 8 if intended else 2
-    top = top_n_per_key(snap.select(*KEYS, "loaded_date", "revenue"), KEYS,
-                        [desc("loaded_date"), desc("revenue")], depth, "_pos")
-
-    def at(pos, c):
-        return F.max(F.when(F.col("_pos") == pos, F.col(c)))
-
-    agg = top.groupBy(*KEYS).agg(
-        at(1, "revenue").alias("revenue"),
-        at(2, "revenue").alias("last_day_revenue"),
-        (at(8, "revenue") if intended else F.lit(None).cast("bigint")).alias("revenue_7_days_ago"),
-        at(1, "loaded_date").alias("last_updated_date"),
-    )
-    days = days_until("last_updated_date", season.as_of)
-    c_day = F.col("revenue") != F.col("last_day_revenue")
-    c_week = F.col("revenue") != F.col("revenue_7_days_ago")
-    still = F.coalesce((c_day | c_week) & (days <= season.window_days), F.lit(False))
-    return agg.select(*KEYS, "revenue", "last_day_revenue", "revenue_7_days_ago",
-                      c_day.alias("change_in_last_day"), c_week.alias("change_in_last_week"),
-                      "last_updated_date", days.alias("days_since_last_update"),
-                      still.alias("still_in_theaters"))
+    newest = newest_per_year(snap, KEYS, 8 if intended else 2)
+    return newest.select(*KEYS, *[c.alias(n) for n, c in _activity_columns(season, intended).items()])
 
 
 def tracked_titles(latest: DataFrame, manual: DataFrame) -> DataFrame:
     """J6 (+A1): tracked titles that have no manual entry (NOT IN with NULL rules)."""
     kept = not_in(latest, "title", manual, "title")
-    return kept.select(*KEYS, *[F.col(c).cast("bigint").alias(c) for c in MONEY], "first_seen_date")
+    extra = ["_act"] if "_act" in latest.columns else []
+    return kept.select(*KEYS, *[F.col(c).cast("bigint").alias(c) for c in MONEY], "first_seen_date", *extra)
 
 
 def _manual_as_tracked(manual: DataFrame) -> DataFrame:
@@ -125,23 +155,25 @@ def pick_table(draft: DataFrame, round_mult: DataFrame) -> DataFrame:
             .join(round_mult, ["draft_id", "round"], "left"))
 
 
-def score_titles(base: DataFrame, picks: DataFrame, act: DataFrame, movie_ov: DataFrame,
-                 manual: DataFrame) -> DataFrame:
-    """The scored title table (M1).
+def titles_with_status(tracked: DataFrame, manual: DataFrame) -> DataFrame:
+    """W10 + J2 + J8: every title once, with its status. A tracked title brings its own along; a
+    manual one is never still in theaters, and after J6 no tracked title is a manual one."""
+    status = F.col("_act").alias("still_in_theaters")
+    return tracked.select(*KEYS, *MONEY, "first_seen_date", status).unionByName(
+        dedupe_titles(_manual_as_tracked(manual)).withColumn("still_in_theaters", F.lit(False)))
+
+
+def score_titles(base: DataFrame, picks: DataFrame, movie_ov: DataFrame) -> DataFrame:
+    """The scored title table (M1) from ``titles_with_status``.
 
     ``picks`` is ``pick_table`` (picks already carry the round multiplier: joining the
     overrides to the picks first gives the same rows as joining them after the title join,
     and keeps every later join on (draft_id, title)).
     """
     mov = movie_ov.select("draft_id", F.col("movie").alias("title"), F.col("multiplier").alias("movie_multiplier"))
-    flags = in_flag(base, "title", manual, "title", "_manual")
-    joined = (flags
-              .join(picks, KEYS, "left")                                             # J1
-              .join(act.select(*KEYS, F.col("still_in_theaters").alias("_act")), KEYS, "left")  # J2
-              .join(mov, KEYS, "left"))                                              # J4
+    joined = base.join(picks, KEYS, "left").join(mov, KEYS, "left")                  # J1, J4
     mult = f32_or_one("round_multiplier") * f32_or_one("movie_multiplier")           # P5
     scored = F.round(mult * f32("revenue"), 0)                                       # P6
-    still = F.when(F.col("_manual"), F.lit(False)).otherwise(F.coalesce("_act", F.lit(False)))
     return joined.select(
         "draft_id", "title", "drafted_by", "overall_pick",
         F.coalesce("revenue", F.lit(0).cast("bigint")).alias("revenue"),
@@ -153,5 +185,5 @@ def score_titles(base: DataFrame, picks: DataFrame, act: DataFrame, movie_ov: Da
         share("domestic_rev", "revenue").alias("domestic_pct"),                     # P7
         share("foreign_rev", "revenue").alias("foreign_pct"),
         "first_seen_date",
-        still.alias("still_in_theaters"),
+        "still_in_theaters",
     )

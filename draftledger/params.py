@@ -10,8 +10,8 @@ from dataclasses import dataclass, field
 class Season:
     """Season year, the as-of date and the activity window in days."""
 
-    year: int = 1998
-    as_of: dt.date = dt.date(1998, 12, 31)
+    year: int = 2001
+    as_of: dt.date = dt.date(2001, 11, 5)
     window_days: int = 7
     # time stamped on a refresh; the daily refresh runs at 09:00 UTC
     refreshed_at: dt.datetime | None = field(default=None)

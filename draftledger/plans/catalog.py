@@ -10,43 +10,90 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from draftledger.operators import checks, present, standings, titles
 from draftledger.params import DEFAULT_SEASON
 from draftledger.plans.models import Models
+from draftledger.plans.refresh import read_table, refresh
 from draftledger.session import shared_dir
 from draftledger.sources import readers, schemas, testbed
 
 SEASON = DEFAULT_SEASON
 
 
-def _m(spark: SparkSession, sf_dir: str) -> Models:
-    # dates and publish times are UTC throughout, whatever session the caller brings
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return Models.from_testbed(spark, sf_dir, SEASON)
+# What every query relies on, whatever session the caller brings: dates and publish times are
+# UTC, and a bad money value fails.
+NEEDED = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+
+
+def _session(spark: SparkSession) -> SparkSession:
+    """The caller's session if it has what is needed, else a session of our own beside it with
+    the caller's settings; the caller's is never changed."""
+    if all(spark.conf.get(k).lower() == v.lower() for k, v in NEEDED.items()):
+        return spark
+    own = spark.newSession()
+    for key, value in (spark.conf.getAll | NEEDED).items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
+def _m(spark: SparkSession, sf_dir: str, **kw) -> Models:
+    return Models.from_testbed(_session(spark), sf_dir, SEASON, **kw)
 
 
 def _on(build: Callable[[Models], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(_m(spark, sf_dir))
 
 
+def _dashboard(table: str):
+    def build(m: Models) -> DataFrame:
+        tables = present.dashboard_tables(m.scoreboard, m.base_query, m.row_budget, m.worst_picks, m.best_picks)
+        return tables[table]
+    return _on(build)
+
+
 def _s2(spark, sf_dir):
     m = _m(spark, sf_dir)
     return readers.snapshot_from_scraped(testbed.scraped_page(m.raw_snapshots, SEASON), SEASON)
 
 
 def _s6(spark, sf_dir):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    absent = readers.optional_source(spark, f"{sf_dir}/manual_adds.parquet", schemas.MANUAL_ADDS_TEXT)
-    return Models.from_testbed(spark, sf_dir, SEASON, manual_adds_text=absent).scored
+    absent = readers.optional_source(_session(spark), f"{sf_dir}/manual_adds.parquet", schemas.MANUAL_ADDS_TEXT)
+    return _m(spark, sf_dir, manual_adds_text=absent).scored
+
+
+def _s7(spark, sf_dir):
+    """M1 whose shares are quotients by totals that may be zero, so that NaN and both infinities
+    really occur: the reader shows them, and only them, as NULL."""
+    scored = _m(spark, sf_dir).scored
+    total = F.when(F.col("title").endswith("3"), F.lit(0.0)).otherwise(F.col("revenue").cast("double"))
+    part = F.when(F.col("title").endswith("13"), F.lit(0.0)).otherwise(
+        F.when(F.col("title").endswith("23"), -1.0).otherwise(1.0) * F.greatest("domestic_rev", F.lit(1)))
+    # IEEE division, which Spark's operator refuses at zero: x * (1 / 0) as a product with infinity
+    share = F.when(total == 0, part * F.lit(float("inf"))).otherwise(F.try_divide(part, total))
+    return readers.read_model(scored.withColumn("domestic_pct", share))
 
 
 def _k1(spark, sf_dir):
-    """Full refresh of M1 into the shared folder, partitioned by league, read back."""
+    """A full refresh into the shared folder, and its first table as published."""
     m = _m(spark, sf_dir)
     root = f"{shared_dir(spark).rstrip('/')}/k1_refresh/{uuid.uuid4().hex}"
-    present.write_league_tables({"base_query_int": m.scored}, root)
-    return spark.read.parquet(f"{root}/base_query_int")
+    refresh(m.spark, testbed.load(m.spark, sf_dir, SEASON), root, SEASON)
+    return read_table(m.spark, root, "base_query_int").select(*m.scored.columns)
+
+
+def _shared_history(m: Models) -> DataFrame:
+    """The snapshots of all leagues as one history without leagues."""
+    return m.raw_snapshots.drop("draft_id")
+
+
+def _m1_shared(spark, sf_dir):
+    """Every league scores the one shared history in the season of its own year."""
+    m = _m(spark, sf_dir)
+    years = testbed.league_years(m.spark, sf_dir, SEASON)
+    return _m(spark, sf_dir, snapshots=_shared_history(m), league_years=years).scored
 
 
 def _p5(spark, sf_dir):
@@ -78,10 +125,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s4_manual_adds_raw": _on(lambda m: m.manual_adds_raw),
     "s5_rules_raw": _on(lambda m: m.rules),
     "s6_optional_source": _s6,
-    "s7_read_model": _on(lambda m: readers.read_model(m.scored)),
+    "s7_read_model": _s7,
+    "s1_shared_history": _on(_shared_history),
     # sinks
     "k1_refresh": _k1,
     "k2_released_movies": _on(lambda m: present.released_movies(m.base_query)),
+    "k2_standings": _dashboard("dashboard_standings"),
+    "k2_worst_picks": _dashboard("dashboard_worst_picks"),
+    "k2_best_picks": _dashboard("dashboard_best_picks"),
+    "k3_scoreboard": _on(lambda m: present.drafter_scoreboards(checks.drafter_scoreboard(m.draft, m.scoreboard))),
     "k3_draftee_tabs": _on(lambda m: present.draftee_tabs(m.draftee_dashboard)),
     # projections / cleaning
     "p1_drafter_clean": _on(lambda m: m.drafter),
@@ -98,19 +150,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j3_round_multiplier_join": _on(lambda m: m.picks),
     "j4_movie_multiplier_join": _j4,
     "j5_exclude_titles": _on(lambda m: titles.exclude_titles(m.snapshots, m.exclusions)),
-    "j6_manual_override": _on(lambda m: m.tracked),
+    "j6_manual_override": _on(lambda m: m.tracked.drop("_act")),
     "j7_better_pick_pairs": _on(lambda m: m.pairs),
     "j8_manual_flag": _on(lambda m: titles.manual_flag(m.base_titles, m.manual_adds, m.activity)),
     "j12_draftee_dashboard": _on(lambda m: m.draftee_dashboard),
-    "j13_missing_picks": _on(lambda m: checks.missing_picks(m.drafter, m.base_query)),
-    "j14_under_min_revenue": _on(lambda m: checks.under_floor_titles(m.snapshots, m.base_query, SEASON)),
+    "j13_missing_picks": _on(lambda m: checks.missing_picks(m.drafter, m.released)),
+    "j14_under_min_revenue": _on(lambda m: checks.under_floor_titles(m.state, m.snapshots, m.released, SEASON, m.league_years)),
     # windows
     "w1_first_seen": _on(lambda m: titles.first_seen(m.snapshots, m.exclusions)),
-    "w2_latest_snapshot": _on(lambda m: m.latest),
+    "w2_latest_snapshot": _on(lambda m: m.latest.drop("_act")),
     "w3_still_in_theaters": _on(lambda m: m.activity),
     "w3_still_in_theaters_intended": _on(lambda m: titles.activity(m.snapshots, SEASON, intended=True)),
     "w4_base_query": _on(lambda m: m.base_query),
-    "w5_revenue_rank": _on(lambda m: standings.revenue_rank(m.base_query)),
+    "w5_revenue_rank": _on(lambda m: standings.revenue_rank(m.ranked)),
     "w6_best_picks": _on(lambda m: m.best_picks),
     "w7_worst_picks": _on(lambda m: m.worst_picks),
     "w8_better_pick_final": _on(lambda m: m.best_alternative),
@@ -119,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "u1_with_manual_adds": _on(lambda m: m.with_manual),
     # composite
     "m1_base_query_int": _on(lambda m: m.scored),
+    "m1_shared_history": _m1_shared,
     # aggregations
     "a2_scoreboard": _on(lambda m: m.scoreboard),
     "a3_better_pick_stats": _on(lambda m: m.better_pick_stats),
@@ -132,6 +185,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o2_budgeted_picks": _on(lambda m: present.budgeted_picks(m.row_budget, m.worst_picks, m.best_picks)),
     "o3_row_budget": _on(lambda m: m.row_budget),
 }
-
-# Keys checked by row count only (no SQL equivalent: a write to the shared folder).
-ROWS_ONLY = {"k1_refresh"}

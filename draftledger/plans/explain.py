@@ -35,7 +35,7 @@ def summarize(df: DataFrame) -> dict:
         "sort_merge_joins": count(r"SortMergeJoin"),
         "broadcast_hash_joins": count(r"BroadcastHashJoin"),
         "window_group_limits": count(r"WindowGroupLimit .*Partial"),
-        "partial_aggregates": count(r"(?:Hash|Sort|ObjectHash)Aggregate\(keys=\[[^\]]*\], functions=\[partial_"),
+        "partial_aggregates": count(r"(?:Hash|Sort|ObjectHash)Aggregate\(keys?=\[[^\]]*\], functions=\[partial_"),
         "scans": count(r"FileScan parquet"),
         "pushed_filters": sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", text))),
         "red_flags": [f for f in RED_FLAGS if f in text],

@@ -20,12 +20,13 @@ class Models:
     def __init__(self, spark: SparkSession, season: Season = DEFAULT_SEASON, *,
                  snapshots=None, draft_text=None, rules_text=None, manual_adds_text=None,
                  sf_dir: str | None = None, pair_bucket_width: int = 128,
-                 materialize_shared: bool = True):
+                 materialize_shared: bool = True, league_years=None):
         self.spark = spark
         self.season = season
         self.sf_dir = sf_dir
         self.pair_bucket_width = pair_bucket_width
         self.materialize_shared = materialize_shared
+        self.league_years = league_years  # (draft_id, year) per league; None: the season's year for all
         self._given = {"raw_snapshots": snapshots, "draft_text": draft_text,
                        "rules_text": rules_text, "manual_adds_text": manual_adds_text}
 
@@ -50,7 +51,7 @@ class Models:
     # raw inputs -----------------------------------------------------------------------
     @cached_property
     def raw_snapshots(self) -> DataFrame:
-        return self._input("raw_snapshots", lambda: testbed.snapshots(self.spark, self.sf_dir, self.season))
+        return self._input("raw_snapshots", lambda: testbed.snapshots(self.spark, self.sf_dir))
 
     @cached_property
     def draft_text(self) -> DataFrame:
@@ -107,9 +108,13 @@ class Models:
         return clean.round_multipliers(self.round_overrides)
 
     # title scoring (M1) ----------------------------------------------------------------
+    @cached_property
+    def state(self) -> DataFrame:
+        return titles.title_state(self.snapshots, self.season, self.league_years)
+
     @cached_property
     def latest(self) -> DataFrame:
-        return titles.latest_snapshot(self.snapshots, self.exclusions, self.season)
+        return titles.latest_snapshot(self.state, self.exclusions)
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -121,11 +126,11 @@ class Models:
 
     @cached_property
     def with_manual(self) -> DataFrame:
-        return titles.with_manual_adds(self.tracked, self.manual_adds)
+        return titles.with_manual_adds(self.tracked.drop("_act"), self.manual_adds)
 
     @cached_property
     def base_titles(self) -> DataFrame:
-        return titles.dedupe_titles_split(self.tracked, self.manual_adds)
+        return titles.dedupe_titles_split(self.tracked.drop("_act"), self.manual_adds)
 
     @cached_property
     def picks(self) -> DataFrame:
@@ -133,12 +138,11 @@ class Models:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return titles.score_titles(self.base_titles, self.picks, self.activity,
-                                   self.movie_overrides, self.manual_adds)
+        return titles.score_titles(titles.titles_with_status(self.tracked, self.manual_adds), self.picks, self.movie_overrides)
 
     @cached_property
     def scored_table(self) -> DataFrame:
-        """M1 written once: read by both sides of the pair join and by the released table."""
+        """M1 written once: read by both sides of the pair join."""
         return materialize(self.scored, "base_query_int") if self.materialize_shared else self.scored
 
     # alternatives ----------------------------------------------------------------------
@@ -148,41 +152,61 @@ class Models:
 
     @cached_property
     def best_alternative(self) -> DataFrame:
-        """M3, one row per pick, written once (it feeds the rank of the released table,
-        whose range sampling would otherwise re-run the pair join). The top-1 runs on the
-        join output: the map-side group limit keeps one row per pick and task, so the pairs
-        themselves are never shuffled. The pair table is not written: its inputs are the
-        small per-league pick lists, so recomputing the join for the per-title statistics
-        costs less than writing and re-reading its quadratic output."""
-        best = alternatives.best_alternative(self.pairs)
-        return materialize(best, "better_pick_final") if self.materialize_shared else best
+        """M3, one row per pick. The top-1 runs on the join output: the map-side group limit
+        keeps one row per pick and task, so the pairs themselves are never shuffled. The pair
+        table is not written: its inputs are the small per-league pick lists, so recomputing
+        the join costs less than writing and re-reading its quadratic output."""
+        return alternatives.best_alternative(self.pairs)
 
     @cached_property
     def better_pick_stats(self) -> DataFrame:
-        """A3, one row per drafted title, written once (it feeds the rank of the worst picks)."""
-        stats = alternatives.better_pick_stats(self.pairs)
-        return materialize(stats, "better_pick_stats") if self.materialize_shared else stats
+        """A3, one row per drafted title."""
+        return alternatives.better_pick_stats(self.pairs)
 
     # league tables ---------------------------------------------------------------------
+    def _scored_for_rows(self) -> DataFrame:
+        """M1 as it was written, if it was; else its plan."""
+        return self.__dict__.get("scored_table", self.scored)
+
+    @cached_property
+    def released(self) -> DataFrame:
+        return standings.released_rows(self._scored_for_rows(), self.season)
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        return standings.ranked_rows(self.released)
+
     @cached_property
     def base_query(self) -> DataFrame:
-        return standings.released_picks(self.scored_table, self.best_alternative, self.season)
+        best = self.best_alternative
+        return standings.released_picks(self.ranked, best)
 
     @cached_property
     def scoreboard(self) -> DataFrame:
-        return standings.scoreboard(self.base_query)
+        best = self.best_alternative
+        return standings.scoreboard(standings.with_alternative(self.released, best))
+
+    @cached_property
+    def best_gains(self) -> DataFrame:
+        return standings.best_gains(self.ranked)
 
     @cached_property
     def best_picks(self) -> DataFrame:
-        return standings.best_picks(self.base_query)
+        return standings.best_picks(self.best_gains)
+
+    @cached_property
+    def worst_rows(self) -> DataFrame:
+        stats = self.better_pick_stats
+        return standings.worst_rows(self.released, stats)
 
     @cached_property
     def worst_picks(self) -> DataFrame:
-        return standings.worst_picks(self.base_query, self.better_pick_stats)
+        return standings.worst_picks(self.worst_rows)
 
     @cached_property
     def draftee_dashboard(self) -> DataFrame:
-        return standings.draftee_dashboard(self.draft, self.base_query, self.round_overrides,
+        best = self.best_alternative
+        return standings.draftee_dashboard(self.draft, standings.with_alternative(self.released, best), self.round_overrides,
                                            self.movie_overrides)
 
     # checks and presentation -----------------------------------------------------------
@@ -192,12 +216,14 @@ class Models:
 
     @cached_property
     def league_done(self) -> DataFrame:
-        return checks.league_done(self.base_query, self.leagues, self.season)
+        return checks.league_done(self.released, self.leagues, self.season, self.league_years)
 
     @cached_property
     def row_budget(self) -> DataFrame:
-        return present.row_budget(self.leagues, self.scoreboard, self.base_query,
-                                  self.worst_picks, self.best_picks)
+        """O3 needs the lengths of the tables, so it reads their unranked rows."""
+        worst = self.worst_rows
+        names = self.released.select("draft_id", "drafted_by").distinct()
+        return present.row_budget(self.leagues, names, self.released, worst, self.best_gains)
 
     def outputs(self) -> dict[str, DataFrame]:
         """The tables a refresh writes."""
@@ -213,7 +239,7 @@ class Models:
             **present.dashboard_tables(self.scoreboard, self.base_query, self.row_budget,
                                        self.worst_picks, self.best_picks),
             "draftee_tabs": present.draftee_tabs(self.draftee_dashboard),
-            "drafter_scoreboard": checks.drafter_scoreboard(self.draft, self.scoreboard),
+            "drafter_scoreboard": present.drafter_scoreboards(checks.drafter_scoreboard(self.draft, self.scoreboard)),
             "row_budget": self.row_budget,
             "freshness": checks.freshness(self.snapshots, self.league_done, self.season),
         }

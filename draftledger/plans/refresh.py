@@ -1,24 +1,34 @@
-"""Full refresh of every league (the scheduled entry point of the reference, as one job).
-
-Reads the league inputs from Parquet, computes every model and writes each one under
-``out_root/<table>/draft_id=<league>/`` with dynamic partition overwrite, so refreshing a
-subset of leagues rewrites only their partitions. The scored titles are written first and
-the later models read the written table (the lineage is cut there, as the reference
+"""Refresh of every league, or of some (the scheduled entry point of the reference, as one job).
+
+Reads the league inputs from Parquet, computes every model and writes each one as a version of its
+own, ``out_root/<table>/version=<id>/draft_id=<league>/``. Nothing is overwritten or deleted; a
+refresh that stops half-way leaves no trace for readers. Its last step adds to
+``out_root/_versions`` what the version covers: all leagues, or the ones asked for.
+``read_table`` takes for each league the newest version that covers it, so a league that has gone, or a
+table that a league no longer has rows in, is gone for readers too. Inside a refresh later models
+read only the version being written (the lineage is cut there, as the reference
 materialises every model).
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftledger.operators import present
+from draftledger.operators import checks, present
 from draftledger.params import DEFAULT_SEASON, Season
 from draftledger.plans.models import Models
 from draftledger.sources import readers, schemas as S
 
+#: So many leagues are asked for by name, which prunes the folders that are read; more by a semi join.
+PRUNED_BY_NAME = 1000
+VERSIONS = "seq long, version string, draft_id string"
+
 
 @dataclass(frozen=True)
 class InputPaths:
@@ -30,9 +40,9 @@ class InputPaths:
     manual_adds: str
 
 
-def load_inputs(spark: SparkSession, paths: InputPaths) -> dict[str, DataFrame]:
+def load_inputs(spark: SparkSession, paths: InputPaths, season: Season = DEFAULT_SEASON) -> dict[str, DataFrame]:
     return {
-        "snapshots": readers.read_snapshots(spark, paths.snapshots),
+        "snapshots": readers.load_snapshots(spark, season, path=paths.snapshots),
         "draft_text": readers.optional_source(spark, paths.draft, S.DRAFT_TEXT, required=True),
         "rules_text": readers.optional_source(spark, paths.rules, S.RULES_TEXT),
         "manual_adds_text": readers.optional_source(spark, paths.manual_adds, S.MANUAL_ADDS_TEXT),
@@ -41,41 +51,90 @@ def load_inputs(spark: SparkSession, paths: InputPaths) -> dict[str, DataFrame]:
 
 def only_leagues(inputs: dict[str, DataFrame], leagues: DataFrame | None) -> dict[str, DataFrame]:
     """Restrict every input to the leagues in ``leagues`` (a one-column DataFrame of
-    ``draft_id``) with a semi join: no league list passes through the driver."""
+    ``draft_id``). A few are named in the filter, so only their folders are read; a shared
+    history has no league and stays whole."""
     if leagues is None:
         return inputs
     keys = leagues.select("draft_id").distinct()
-    return {name: df.join(keys, "draft_id", "left_semi") for name, df in inputs.items()}
+    named = [r["draft_id"] for r in keys.limit(PRUNED_BY_NAME + 1).collect()]
+
+    def cut(df: DataFrame) -> DataFrame:
+        if "draft_id" not in df.columns:
+            return df
+        if len(named) <= PRUNED_BY_NAME:
+            return df.filter(F.col("draft_id").isin(named))
+        return df.join(keys, "draft_id", "left_semi")
+
+    return {name: cut(df) for name, df in inputs.items()}
 
 
 def refresh(spark: SparkSession, inputs: dict[str, DataFrame], out_root: str,
-            season: Season = DEFAULT_SEASON, leagues: DataFrame | None = None) -> dict[str, str]:
-    """Compute and write every model; returns table name -> path."""
+            season: Season = DEFAULT_SEASON, leagues: DataFrame | None = None,
+            league_years: DataFrame | None = None, configs: DataFrame | None = None) -> list[str]:
+    """Compute and write every model; returns the names of the tables. ``league_years``: a season
+    per league; ``configs``: the league configurations, which must not name a league twice."""
+    if configs is not None:
+        checks.require_unique_leagues(configs)
     inputs = only_leagues(inputs, leagues)
     m = Models(spark, season, snapshots=inputs["snapshots"], draft_text=inputs["draft_text"],
                rules_text=inputs["rules_text"], manual_adds_text=inputs["manual_adds_text"],
-               materialize_shared=False)
+               materialize_shared=False, league_years=league_years)
+    version = uuid.uuid4().hex
 
-    def write_and_reread(name: str, df: DataFrame) -> DataFrame:
-        present.write_league_tables({name: df}, out_root)
-        # the written schema keeps draft_id a string; only the refreshed leagues are read back
-        back = spark.read.schema(df.schema).parquet(f"{out_root}/{name}")
-        return only_leagues({name: back}, leagues)[name]
+    def write(name: str, df: DataFrame) -> DataFrame:
+        path = present.write_league_table(name, df, out_root, version)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     # K1: each shared model is written first and the later models read the written table.
-    m.__dict__["scored_table"] = write_and_reread("base_query_int", m.scored)
-    m.__dict__["pairs"] = write_and_reread("better_pick_int", m.pairs)
-    m.__dict__["best_alternative"] = write_and_reread("better_pick_final", m.best_alternative)
-    m.__dict__["base_query"] = write_and_reread("base_query", m.base_query)
-    rest = {k: v for k, v in m.outputs().items()
-            if k not in ("base_query_int", "better_pick_int", "better_pick_final", "base_query")}
-    present.write_league_tables(rest, out_root)
-    return {name: f"{out_root}/{name}" for name in m.outputs()}
+    m.__dict__["scored_table"] = write("base_query_int", m.scored)
+    m.__dict__["pairs"] = write("better_pick_int", m.pairs)
+    m.__dict__["best_alternative"] = write("better_pick_final", m.best_alternative)
+    m.__dict__["base_query"] = base_query = write("base_query", m.base_query)
+    m.__dict__["ranked"] = m.__dict__["released"] = base_query.drop("better_pick_title", "better_pick_scored_revenue")
+    for shared in ("scoreboard", "best_picks", "worst_picks"):
+        m.__dict__[shared] = write(shared, getattr(m, shared))
+    m.__dict__["best_gains"], m.__dict__["worst_rows"] = m.best_picks, m.worst_picks
+    m.__dict__["row_budget"] = write("row_budget", m.row_budget)
+    done = {"base_query_int", "better_pick_int", "better_pick_final", "base_query", "scoreboard", "best_picks",
+            "worst_picks", "row_budget"}
+    outputs = m.outputs()
+    for name, df in outputs.items():
+        if name not in done:
+            write(name, df)
+
+    covers = (spark.createDataFrame([(None,)], "draft_id string") if leagues is None
+              else leagues.select("draft_id").distinct())
+    (covers.select(F.lit(time.time_ns()).alias("seq"), F.lit(version).alias("version"), "draft_id")
+     .coalesce(1).write.mode("append").parquet(f"{out_root}/_versions"))
+    return list(outputs)
+
+
+def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """The table as published: for each league the newest version that covers it."""
+    try:
+        log = spark.read.schema(VERSIONS).parquet(f"{out_root}/_versions")
+    except AnalysisException as err:
+        raise FileNotFoundError(f"nothing has been published under {out_root}") from err
+    full = log.filter("draft_id is null").agg(F.max("seq"), F.max_by("version", "seq")).first()
+    whole, since = full[1], full[0] or 0
+    newer = log.filter(F.col("draft_id").isNotNull() & (F.col("seq") > since)).groupBy("draft_id").agg(
+        F.max_by("version", "seq").alias("_version"))
+    path = f"{out_root}/{name}"
+    table = spark.read.option("basePath", path)
+    # a partition column's type is stated, or league "1" would be read as a number
+    schema = spark.read.option("basePath", path).parquet(path).schema
+    for f in schema.fields:
+        if f.name in ("draft_id", "draftee_name", "version"):
+            f.dataType = S.T.StringType()
+    rows = table.schema(schema).parquet(path)
+    parts = rows.join(newer, "draft_id", "left")
+    kept = parts.filter(F.col("version") == F.coalesce("_version", F.lit(whole)))
+    return kept.drop("version", "_version")
 
 
 def refresh_paths(spark: SparkSession, paths: InputPaths, out_root: str,
-                  season: Season = DEFAULT_SEASON) -> dict[str, str]:
-    return refresh(spark, load_inputs(spark, paths), out_root, season)
+                  season: Season = DEFAULT_SEASON) -> list[str]:
+    return refresh(spark, load_inputs(spark, paths, season), out_root, season)
 
 
 def league_filter(spark: SparkSession, *draft_ids: str) -> DataFrame:

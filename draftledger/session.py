@@ -52,7 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and materialised tables.
 
     Read from the session (``spark.checkpoint.dir`` / the context's checkpoint dir). Only
-    when nothing is configured (tests, a laptop) a scratch folder of our own is set.
+    when nothing is configured on a local master (tests, a laptop) a scratch folder of our own
+    is set; on a cluster that is an error, as executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
     else:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="draftledger-"))
     return sc.getCheckpointDir()
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from draftledger.functions.columns import SHEET_DATE_INPUT, money_text_to_long
+from draftledger.functions.columns import SHEET_DATE_INPUT, money_text_to_long, strict_int
 from draftledger.params import Season
 from draftledger.sources import schemas as S
 
@@ -21,9 +21,24 @@ from draftledger.sources import schemas as S
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """The daily snapshot history, only the seven snapshot columns (plus the league).
 
-    The schema is declared, so no inference pass runs; the projection reaches the scan.
+    The schema is declared, so no inference pass runs; the projection reaches the scan. A
+    column that the files lack is an error, not a column of NULLs.
     """
-    return spark.read.schema(S.SNAPSHOT).parquet(path).select(*S.SNAPSHOT_COLUMNS)
+    return _declared(spark, path, S.SNAPSHOT)
+
+
+def read_shared_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """S1 for one history that all leagues share: the seven snapshot columns, no league."""
+    return _declared(spark, path, S.SHARED_SNAPSHOT)
+
+
+def _declared(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    there = set(spark.read.parquet(path).columns)
+    missing = [f.name for f in schema.fields if f.name not in there]
+    if missing:
+        hint = "; a history without leagues is read by read_shared_snapshots" if missing == ["draft_id"] else ""
+        raise ValueError(f"{path} lacks {', '.join(missing)}{hint}")
+    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
 def snapshot_from_scraped(page: DataFrame, season: Season) -> DataFrame:
@@ -46,20 +61,23 @@ def snapshot_from_scraped(page: DataFrame, season: Season) -> DataFrame:
 
 def load_snapshots(spark: SparkSession, season: Season, path: str | None = None,
                    page: DataFrame | None = None) -> DataFrame:
-    """One loader for both kinds of source; the result has the snapshot schema either way."""
+    """One loader for all kinds of source: a path to league histories or to a shared one,
+    told apart by their columns, or a captured page."""
     if path is not None:
-        return read_snapshots(spark, path)
+        shared = "draft_id" not in spark.read.parquet(path).columns
+        return read_shared_snapshots(spark, path) if shared else read_snapshots(spark, path)
     if page is not None:
         return snapshot_from_scraped(page, season)
     raise ValueError("give a Parquet path or a captured page")
 
 
 def draft_from_text(text: DataFrame) -> DataFrame:
-    """S3: draft picks read as text, cast to the declared types (round, overall_pick INT)."""
+    """S3: draft picks read as text, cast to the declared types (round, overall_pick INT;
+    '1.0' reads 1, text that is no number is an error)."""
     return text.select(
         F.col("draft_id").cast("string"),
-        F.col("round").cast("int").alias("round"),
-        F.col("overall_pick").cast("int").alias("overall_pick"),
+        strict_int("round").alias("round"),
+        strict_int("overall_pick").alias("overall_pick"),
         F.col("name").cast("string"),
         F.col("movie").cast("string"),
     )

@@ -18,22 +18,24 @@ SNAPSHOT = T.StructType([
     _f("published_timestamp_utc", T.TimestampType(), "when the snapshot was published"),
 ])
 SNAPSHOT_COLUMNS = [f.name for f in SNAPSHOT.fields]
+# One history that all leagues share.
+SHARED_SNAPSHOT = T.StructType(SNAPSHOT.fields[1:])
 
 DRAFT = T.StructType([
     _f("draft_id", T.StringType()),
-    _f("round", T.IntegerType(), "Round number of draft"),
-    _f("overall_pick", T.IntegerType(), "Overall pick number of draft"),
-    _f("name", T.StringType(), "Name of the person picking"),
-    _f("movie", T.StringType(), "Movie picked"),
+    _f("round", T.IntegerType(), "draft round, counted from 1"),
+    _f("overall_pick", T.IntegerType(), "position in the whole draft"),
+    _f("name", T.StringType(), "drafter who made the pick"),
+    _f("movie", T.StringType(), "title that was picked"),
 ])
 
 MANUAL_ADDS_RAW = T.StructType([
     _f("draft_id", T.StringType()),
-    _f("title", T.StringType(), "Title of the movie"),
-    _f("revenue", T.StringType(), "Revenue of the movie"),
-    _f("domestic_rev", T.StringType(), "Domestic revenue of the movie"),
-    _f("foreign_rev", T.StringType(), "Foreign revenue of the movie"),
-    _f("release_date", T.DateType(), "Date the movie was released"),
+    _f("title", T.StringType(), "title entered by hand"),
+    _f("revenue", T.StringType(), "worldwide amount as typed"),
+    _f("domestic_rev", T.StringType(), "domestic amount as typed"),
+    _f("foreign_rev", T.StringType(), "foreign amount as typed"),
+    _f("release_date", T.DateType(), "release day, first day the title counts as seen"),
 ])
 
 MANUAL_ADDS_TEXT = T.StructType([
@@ -47,9 +49,9 @@ MANUAL_ADDS_TEXT = T.StructType([
 
 RULES = T.StructType([
     _f("draft_id", T.StringType()),
-    _f("value", T.StringType(), "Value of the record"),
-    _f("multiplier", T.DoubleType(), "Multiplier of the record"),
-    _f("type", T.StringType(), "Type of the record"),
+    _f("value", T.StringType(), "round or title the rule is about"),
+    _f("multiplier", T.DoubleType(), "factor on the score"),
+    _f("type", T.StringType(), "round, movie or exclusion"),
 ])
 
 RULES_TEXT = T.StructType([

@@ -2,7 +2,7 @@
 
 Mapping (a league is a part brand, a title is a part):
 
-* snapshots: lineitem x part x supplier, ship date <= as_of; per title and ship day the
+* snapshots: lineitem x part x supplier, every line; per title and ship day the
   line amounts in cents (floor(extendedprice * 100)), domestic when the supplier's nation
   key is a multiple of 5, else foreign; all three amounts cumulative over ship days. The
   capture misses the worldwide total on Sundays (revenue 0, repaired by the cleaning step).
@@ -21,7 +21,7 @@ All of it is plain DataFrame code that scales with the input tables.
 
 from __future__ import annotations
 
-import datetime as dt
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -55,12 +55,10 @@ def _tables(spark: SparkSession, sf_dir: str):
     return read
 
 
-def snapshots(spark: SparkSession, sf_dir: str, season: Season) -> DataFrame:
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily snapshot history with the league column (S1 schema)."""
     read = _tables(spark, sf_dir)
-    cutoff = dt.datetime.combine(season.as_of + dt.timedelta(days=1), dt.time())
-    lines = (read("lineitem", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-             .filter(F.col("l_shipdate") < F.lit(cutoff).cast("timestamp_ntz")))
+    lines = read("lineitem", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     sup = read("supplier", "s_suppkey", "s_nationkey")
     part = read("part", "p_partkey", "p_brand")
     cents = F.floor(F.col("l_extendedprice") * 100).cast("bigint")
@@ -157,6 +155,13 @@ def scraped_page(snap: DataFrame, season: Season) -> DataFrame:
     )
 
 
+def league_years(spark: SparkSession, sf_dir: str, season: Season) -> DataFrame:
+    """Leagues of two seasons: brands with an odd last digit play the season, others the one before."""
+    brand = F.col("p_brand")
+    year = F.lit(season.year) - (F.substring(brand, -1, 1).cast("int") + 1) % 2
+    return _tables(spark, sf_dir)("part", "p_brand").select(brand.alias("draft_id"), year.alias("year")).distinct()
+
+
 def league_configs(spark: SparkSession, sf_dir: str, season: Season) -> DataFrame:
     part = _tables(spark, sf_dir)("part", "p_brand", "p_type")
     return part.select(
@@ -168,50 +173,69 @@ def league_configs(spark: SparkSession, sf_dir: str, season: Season) -> DataFram
 
 
 # Bump when the mapping above changes, so stale tables are not reused.
-TESTBED_VERSION = "v2"
+TESTBED_VERSION = "v3"
 
 BUILDERS = {
-    "snapshots": lambda spark, sf_dir, season: snapshots(spark, sf_dir, season),
+    "snapshots": lambda spark, sf_dir, season: snapshots(spark, sf_dir),
     "draft_text": lambda spark, sf_dir, season: draft_text(spark, sf_dir),
     "rules_text": lambda spark, sf_dir, season: rules_text(spark, sf_dir),
     "manual_adds_text": lambda spark, sf_dir, season: manual_adds_text(spark, sf_dir, season),
 }
+INPUTS = ("lineitem", "part", "supplier")
+
+
+def input_mark(spark: SparkSession, sf_dir: str) -> str:
+    """A mark of the input files: names, lengths and modification times, not their content."""
+    mark = []
+    for table in INPUTS:
+        files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet").select("path", "length", "modificationTime")
+        row = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+        mark.append(f"{row[0]}-{row[1]}")
+    return hashlib.sha256("/".join(mark).encode()).hexdigest()[:16]
 
 
 def testbed_root(spark: SparkSession, sf_dir: str, season: Season) -> str:
     slug = re.sub(r"[^A-Za-z0-9._-]+", "_", sf_dir.strip("/"))
     return (f"{shared_root(spark)}/draftledger-testbed/{TESTBED_VERSION}/"
-            f"{slug}/{season.year}-{season.as_of.isoformat()}")
-
+            f"{slug}-{input_mark(spark, sf_dir)}/{season.year}-{season.as_of.isoformat()}")
 
-def materialize(spark: SparkSession, sf_dir: str, season: Season) -> dict[str, str]:
-    """Write the league tables once into the shared folder and return their paths.
 
-    The reference reads its snapshot history from Parquet; the derived tables play that
-    part here, so every query starts from a column-pruned Parquet scan instead of
-    re-deriving the history from lineitem. A table is rebuilt only when its write did
-    not finish (no ``_SUCCESS`` marker).
-    """
-    root = testbed_root(spark, sf_dir, season)
+def _write(spark: SparkSession, root: str, sf_dir: str, season: Season) -> dict[str, str]:
     paths = {}
     for name, build in BUILDERS.items():
         path = f"{root}/{name}"
         if not path_complete(spark, path):
-            build(spark, sf_dir, season).write.mode("overwrite").parquet(path)
+            df = build(spark, sf_dir, season)
+            if name == "snapshots":  # a folder per league, so a refresh of some leagues reads only theirs
+                df.hint("rebalance", "draft_id").write.mode("overwrite").partitionBy("draft_id").parquet(path)
+            else:
+                df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 
 
+def materialize(spark: SparkSession, sf_dir: str, season: Season) -> dict[str, str]:
+    """Write the league tables once into the shared folder and return their paths.
+
+    The reference reads its snapshot history from Parquet; the derived tables play that
+    part here, so every query starts from a column-pruned Parquet scan instead of
+    re-deriving the history from lineitem. A table is built again when its write did not
+    finish (no ``_SUCCESS`` marker) or when the input files are others than it was built from.
+    """
+    return _write(spark, testbed_root(spark, sf_dir, season), sf_dir, season)
+
+
 _LOADED: dict = {}
 
 
 def load(spark: SparkSession, sf_dir: str, season: Season) -> dict[str, DataFrame]:
     """The materialised league tables as DataFrames (built on first use, opened once per
-    session)."""
-    key = (id(spark), testbed_root(spark, sf_dir, season))
+    application)."""
+    root = testbed_root(spark, sf_dir, season)
+    key = (spark.sparkContext.applicationId, root)
     if key not in _LOADED:
-        paths = materialize(spark, sf_dir, season)
+        paths = _write(spark, root, sf_dir, season)
         out = {name: spark.read.parquet(path) for name, path in paths.items()}
-        out["snapshots"] = spark.read.schema(S.SNAPSHOT).parquet(paths["snapshots"])
+        out["snapshots"] = spark.read.schema(S.SNAPSHOT).parquet(paths["snapshots"]).select(*S.SNAPSHOT_COLUMNS)
         _LOADED[key] = out
     return dict(_LOADED[key])

@@ -2,7 +2,7 @@
 
 The reference refreshes every league on a daily schedule. Here new snapshot files landing
 in a folder are the stream; each micro-batch finds the leagues it touches and refreshes
-only those (their output partitions are overwritten, other leagues stay as they are). Run
+only those (as a new version that covers them; other leagues stay as they are). Run
 it with ``available_now=True`` from a scheduler to process whatever arrived since the last
 run and stop; the checkpoint in the shared folder remembers which files were processed, so
 a lost driver or executor resumes without reprocessing or skipping files.
@@ -35,7 +35,7 @@ def start(spark: SparkSession, paths: InputPaths, out_root: str, checkpoint: str
         # semi joins of the refresh instead of re-reading the new files for each
         touched = batch.select("draft_id").distinct().cache()
         try:
-            refresh(spark, load_inputs(spark, paths), out_root, season, leagues=touched)
+            refresh(spark, load_inputs(spark, paths, season), out_root, season, leagues=touched)
         finally:
             touched.unpersist()
 

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
-from draftledger.plans import verify
+from draftledger.plans.catalog import QUERIES
+from tests import verify
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +18,11 @@ def report(spark):
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(report, key):
     r = report[key]
-    assert r["ok"] in (True, None), r
-    if r["ok"] is None:
-        assert key not in entry.oracle_sql()
-        assert r["rows"] >= 0
+    assert r["ok"] is True, r
 
 
-def test_every_key_but_the_writer_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"k1_refresh"}
+def test_every_key_has_sql_and_is_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

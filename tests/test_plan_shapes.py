@@ -1,27 +1,72 @@
 """No registered query funnels through one task: no nested-loop or cartesian joins and no
-exchange into a single partition in any physical plan; filters reach the scans."""
+exchange into a single partition, in its own plan or in that of any table written on the way."""
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
-import __spark_entry__ as entry
-from draftledger.plans.explain import summarize
+from draftledger.params import DEFAULT_SEASON
+from draftledger.plans.catalog import QUERIES
+from draftledger.plans.explain import plan_text, summarize
 
 SF = "/root/testdata/sf0.001"
+WITHOUT_PAIRS = ["w5_revenue_rank", "w6_best_picks", "a5_freshness", "a6_league_done", "j13_missing_picks", "j14_under_min_revenue"]
 
 
 @pytest.fixture(scope="module")
-def shapes(spark):
-    return {k: summarize(q(spark, SF)) for k, q in sorted(entry.queries().items())}
+def plans(spark):
+    """For each query the plan of what it returns, and before it those of the tables it writes."""
+    QUERIES["s1_daily_scan"](spark, SF).count()  # the league tables are there
+    out, written = {}, []
+    patch = pytest.MonkeyPatch()
+    original = DataFrameWriter.parquet
 
+    def spy(self, path, *args, **kw):
+        written.append((path, self._df))
+        return original(self, path, *args, **kw)
 
-def test_no_single_task_shapes(shapes):
-    flagged = {k: s["red_flags"] for k, s in shapes.items() if s["red_flags"]}
-    assert not flagged
+    patch.setattr(DataFrameWriter, "parquet", spy)
+    try:
+        for key, query in sorted(QUERIES.items()):
+            if key != "k1_refresh":  # it writes every model; the models are looked at one by one
+                written.clear()
+                last = query(spark, SF)
+                out[key] = [(p, plan_text(df), summarize(df)) for p, df in [*written, ("", last)]]
+    finally:
+        patch.undo()
+    return out
 
 
-def test_map_side_reduction_where_expected(shapes):
-    # top-n per key and per-title state are cut down before their shuffle
-    assert shapes["w3_still_in_theaters"]["window_group_limits"] >= 1
-    assert shapes["w2_latest_snapshot"]["partial_aggregates"] >= 1
-    assert any("EqualTo(release_year,1998)" in f for f in shapes["a7_min_revenue"]["pushed_filters"])
-    assert any("EqualTo(type,exclusion)" in f for f in shapes["f2_exclusions"]["pushed_filters"])
+def test_no_single_task_shapes(plans):
+    assert not {k: s["red_flags"] for k, all_ in plans.items() for _, _, s in all_ if s["red_flags"]}
+
+
+def test_the_history_is_never_sorted_whole_for_an_aggregate(plans):
+    for key, all_ in plans.items():
+        for _, text, _ in all_:
+            assert not ("SortAggregate" in text and "/snapshots" in text), key
+    text = plans["m1_base_query_int"][-1][1]
+    assert "HashAggregate(keys=[draft_id" in text and "partial_min(loaded_date" in text
+    assert "partial_max_by" in plans["a7_min_revenue"][-1][1] and "SortAggregate" not in plans["a7_min_revenue"][-1][1]
+
+
+@pytest.mark.parametrize("key", WITHOUT_PAIRS)
+def test_no_pair_join_where_no_alternative_is_read(plans, key):
+    assert not any("_lb_bucket" in text or "spans-" in path for path, text, _ in plans[key])
+
+
+def test_few_tables_are_written_on_the_way(plans):
+    labels = {k: [p.rsplit("/", 1)[1].split("-")[0] for p, _, _ in all_ if p] for k, all_ in plans.items()}
+    assert labels["o3_row_budget"].count("ranked") == 1
+    for key in ("m1_base_query_int", "j13_missing_picks", "j14_under_min_revenue", "a5_freshness", "a6_league_done"):
+        assert labels[key] == [], key
+    assert labels["w5_revenue_rank"] == ["ranked"]
+    assert max(map(len, labels.values())) <= 6
+
+
+def test_map_side_reduction_where_expected(plans):
+    last = {k: all_[-1][2] for k, all_ in plans.items()}
+    assert last["w3_still_in_theaters"]["window_group_limits"] >= 1
+    assert last["m1_base_query_int"]["window_group_limits"] >= 1
+    year = f"EqualTo(release_year,{DEFAULT_SEASON.year})"
+    assert any(year in f for f in last["a7_min_revenue"]["pushed_filters"])
+    assert any("EqualTo(type,exclusion)" in f for f in last["f2_exclusions"]["pushed_filters"])

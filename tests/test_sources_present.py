@@ -76,9 +76,14 @@ def test_released_and_standings(spark):
 def test_draftee_tabs_and_default_scoreboard(spark):
     m = _league(spark)
     tabs = {r.Movie: r for r in present.draftee_tabs(m.draftee_dashboard).collect()}
-    assert tabs["Z"].Revenue == "" and tabs["Z"].Multiplier == "1.0"
-    assert tabs["B"]["Better Pick"] == "C" and tabs["B"]["Better Pick Scored Revenue"] == "900.00"
-    assert tabs["C"]["Better Pick Scored Revenue"] == ""
+    assert tabs["Z"].Revenue is None and tabs["Z"].Multiplier == 1.0 and tabs["Z"]["First Seen Date"] == ""
+    assert tabs["B"]["Better Pick"] == "C" and tabs["B"]["Better Pick Scored Revenue"] == 900.0
+    assert tabs["C"]["Better Pick Scored Revenue"] is None
+    third = m.draftee_dashboard.withColumn("better_pick_scored_revenue", F.lit(1000 / 3)).withColumn("scored_revenue", F.lit(math.nan))
+    shown = present.draftee_tabs(third).first()
+    assert shown["Better Pick Scored Revenue"] == 1000 / 3 and shown["Scored Revenue"] is None
+    boards = present.drafter_scoreboards(checks.drafter_scoreboard(m.draft, m.scoreboard))
+    assert boards.columns == ["draft_id", "draftee_name"] + present.SCOREBOARD_HEADINGS[1:] and boards.count() == 2
     extra = m.draft.unionByName(m.spark.createDataFrame([("L", 3, 9, "Cy", "Q")], "draft_id string, round int, "
                                                          "overall_pick int, name string, movie string"))
     rows = {r.drafted_by_name: r for r in checks.drafter_scoreboard(extra, m.scoreboard).collect()}
@@ -103,6 +108,31 @@ def test_league_done_and_freshness(spark):
     assert fresh.status_text.endswith("Data Updated Through\n1998-12-30 00:00:00 UTC")
 
 
+def test_numbers_as_text(spark):
+    text = spark.createDataFrame([("L", "1.0", " 3", "Ann", "T")], S.DRAFT_TEXT)
+    assert (readers.draft_from_text(text).first()["round"], readers.draft_from_text(text).first().overall_pick) == (1, 3)
+    with pytest.raises(Exception, match="not a number"):
+        readers.draft_from_text(spark.createDataFrame([("L", "1d", "3", "Ann", "T")], S.DRAFT_TEXT)).collect()
+
+
+def test_history_without_leagues_is_told_apart(spark, tmp_path):
+    rows = spark.createDataFrame([("T", 1, 1, 0, D(1998, 1, 1), "1998", dt.datetime(1998, 1, 1))], S.SHARED_SNAPSHOT)
+    rows.write.parquet(str(tmp_path / "shared"))
+    with pytest.raises(ValueError, match="draft_id"):
+        readers.read_snapshots(spark, str(tmp_path / "shared"))
+    assert readers.load_snapshots(spark, SEASON, path=str(tmp_path / "shared")).columns == S.SNAPSHOT_COLUMNS[1:]
+    rows.drop("revenue").write.parquet(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="revenue"):
+        readers.load_snapshots(spark, SEASON, path=str(tmp_path / "short"))
+
+
+def test_duplicate_league_ids_stop_the_run(spark):
+    cfg = spark.createDataFrame([("b.yml", "X", 1998), ("a.yml", "X", 1998), ("d.yml", "Y", 1998)], S.LEAGUE_CONFIGS)
+    with pytest.raises(ValueError, match="X"):
+        checks.require_unique_leagues(cfg)
+    checks.require_unique_leagues(cfg.filter("config_name <> 'b.yml'"))
+
+
 def test_duplicate_leagues(spark):
     cfg = spark.createDataFrame([("b.yml", "X", 1998), ("a.yml", "X", 1998), ("c.yml", "X", 1998), ("d.yml", "Y", 1998)],
                                 S.LEAGUE_CONFIGS)
@@ -112,10 +142,10 @@ def test_duplicate_leagues(spark):
 
 def test_refresh_writes_partitioned_by_league(spark, tmp_path):
     m = _league(spark)
-    present.write_league_tables({"base_query": m.base_query, "draftee_tabs": present.draftee_tabs(m.draftee_dashboard)},
-                                str(tmp_path))
-    assert (tmp_path / "base_query" / "draft_id=L").exists()
-    assert (tmp_path / "draftee_tabs" / "draft_id=L" / "draftee_name=Ann").exists()
+    present.write_league_table("base_query", m.base_query, str(tmp_path), "1")
+    present.write_league_table("draftee_tabs", present.draftee_tabs(m.draftee_dashboard), str(tmp_path), "1")
+    assert (tmp_path / "base_query" / "version=1" / "draft_id=L").exists()
+    assert (tmp_path / "draftee_tabs" / "version=1" / "draft_id=L" / "draftee_name=Ann").exists()
     assert spark.read.parquet(str(tmp_path / "base_query")).filter(F.col("draft_id") == "L").count() == 3
 
 

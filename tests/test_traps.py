@@ -93,6 +93,16 @@ def test_t12_t18_manual_adds_casts(spark):
     assert [x[0] for x in df.select(lenient_int("v")).collect()] == [12, 3, None, None]
 
 
+def test_number_texts_read_as_the_engine_of_the_oracle_reads_them(spark):
+    import duckdb
+    texts = ["0x2", " 0x2 ", "-0x2", "0b11", "0X1F", "0x", "1_000", "1__0", "_1", "1_", "1e3", "+5", ".5", "5.", "1.5e1", " 2", "\t2\n", "1,000",
+             "", "inf", "nan", "2147483648", "2147483647.4", "-0.5", "0.5", "1.5", "2.5", "1e400", "1d", "1f", "2L", None]
+    con = duckdb.connect()
+    want = [con.execute("select try_cast(? as integer)", [t]).fetchone()[0] for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
+    assert [r[0] for r in df.orderBy("i").select(lenient_int("v")).collect()] == want
+
+
 def test_manual_add_replaces_tracked_and_is_never_active(spark):
     snaps = [(L, "T", 500, 500, 0, D(1998, 12, 30), "1998"), (L, "T", 400, 400, 0, D(1998, 12, 29), "1998")]
     manual = [(L, "T", "7000", "6000", "1000", "6/15/1998"), (L, "T", "9000", "9000", "0", "6/15/1998")]
