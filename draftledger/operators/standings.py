@@ -106,7 +106,7 @@ def best_gains(ranked: DataFrame) -> DataFrame:
 
 def best_picks(gains: DataFrame) -> DataFrame:
     """M6 (W6): the gains ranked."""
-    order = [desc("positions_gained"), asc("overall_pick"), asc("title")]
+    order = [desc("positions_gained"), asc("overall_pick"), asc("title"), desc("actual_revenue"), asc("drafted_by")]
     return row_number_within(gains, LEAGUE, order, "rank").select(
         "draft_id", "rank", "title", "drafted_by", "overall_pick", "positions_gained", "actual_revenue")
 
@@ -120,7 +120,7 @@ def worst_rows(released: DataFrame, stats: DataFrame) -> DataFrame:
 
 def worst_picks(rows: DataFrame) -> DataFrame:
     """M7 (W7): largest miss first."""
-    order = [desc("missed_revenue"), desc("number_of_better_picks"), asc("overall_pick"), asc("title")]
+    order = [desc("missed_revenue"), desc("number_of_better_picks"), asc("overall_pick"), asc("title"), asc("drafted_by")]
     return row_number_within(rows, LEAGUE, order, "rank").select(
         "draft_id", "rank", "title", "drafted_by", "overall_pick", "number_of_better_picks", "missed_revenue")
 
