@@ -14,11 +14,11 @@ are dealt so that equal ones meet, and only those that can repeat are looked at:
    are dealt by key; a batch's strings in a bucket are one shard.
 4. In a bucket, shard by shard, the Burrows-Wheeler transform of the strings is built; the
    transforms are merged by refining the interleave (Holt and McMillan): each round
-   reads the symbols of all transforms in the current order and sorts the sources stably by them,
-   so after k rounds the rows stand in the order of their first k bytes. Rows part where a
-   symbol or an earlier part differs, which yields the common prefixes; rows that are still
-   together after ``LENGTH`` rounds are one repeated interval, and its smallest id is every
-   member's.
+   reads the next symbols before the rows of all transforms in the current order and sorts the rows
+   stably by them, ``STEP`` symbols a round, so that after k rounds the rows stand in the order of
+   their first k steps. Rows part where a symbol or an earlier part differs, which yields the
+   common prefixes; rows still together after ``LENGTH`` symbols are one repeated interval, and its
+   smallest id is every member's.
 5. Batches read the intervals' smallest ids back and remove the windows with a smaller id than
    their document's.
 
@@ -44,11 +44,13 @@ LENGTH = 50
 GRAM = 24
 LONGEST = 2 * LENGTH - GRAM
 SPREAD = LENGTH - GRAM + 1  # pieces of a window
+CHUNK = 1 << 15
 BATCH_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 32 * 1024 * 1024
 MIN_BUCKETS = 64
-#: Strings that are merged in one go: their rows fit a processor's cache.
-MERGE_STRINGS, SHARDS = 2048, 8
+#: Strings that are merged in one go: their rows fit a processor's cache and two-byte ranks. The
+#: merge refines by so many symbols a round.
+MERGE_STRINGS, SHARDS, STEP = 800, 8, 5
 _BITS = 56
 _LAST = np.iinfo(np.int64).max
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -73,16 +75,23 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return _mix(by[16][:len(data) - GRAM + 1] * _MULTIPLIERS[1] + by[8][16:])
 
 
+def _least(data: np.ndarray) -> np.ndarray:
+    """The least hash of the pieces of every window, by doubling the number of pieces."""
+    low, size = _grams(data), 1
+    while 2 * size <= SPREAD:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    n = len(data) - LENGTH + 1
+    return np.minimum(low[:n], low[SPREAD - size:][:n])
+
+
 def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, text, start, windows) of the runs in texts that lie end to end in ``data``."""
     none = np.zeros(0, dtype=np.int64)
     if len(data) < LENGTH:
         return none.astype(np.uint64), none, none, none
-    low, size = _grams(data), 1
-    while 2 * size <= SPREAD:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[:len(data) - LENGTH + 1], low[SPREAD - size:][:len(data) - LENGTH + 1])
+    # some windows at a time, so that the hashes stay in a processor's cache
+    low = np.concatenate([_least(data[at:at + CHUNK + LENGTH - 1]) for at in range(0, len(data) - LENGTH + 1, CHUNK)])
     first = np.concatenate(([0], ends[:-1]))
     text = np.repeat(np.arange(len(ends)), ends - first)[:len(low)]
     inside = np.arange(len(low)) + LENGTH <= ends[text]
@@ -140,19 +149,19 @@ class Batch:
         return least < most
 
     def strings(self, shared: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct strings of shared keys in order of key and bytes; their keys, smallest and
-        largest ids; the runs that hold them and which string each is."""
+        """The distinct strings of shared keys in order of key and first place; their keys,
+        smallest and largest ids; the runs that hold them and which string each is."""
         runs_ = np.flatnonzero(shared[self.of])
-        raw = self.data.tobytes()
+        runs_ = runs_[np.argsort(self.of[runs_], kind="stable")]
+        raw, order = self.data.tobytes(), {}
         a, b = self.start[runs_].tolist(), (self.start[runs_] + self.n[runs_] + LENGTH - 1).tolist()
-        pairs = [(k, raw[x:y]) for k, x, y in zip(self.of[runs_].tolist(), a, b)]
-        order = {p: i for i, p in enumerate(sorted(set(pairs)))}
-        of = np.fromiter((order[p] for p in pairs), dtype=np.int64, count=len(pairs))
+        of = np.array([order.setdefault(raw[x:y], len(order)) for x, y in zip(a, b)], dtype=np.int64)
         least, most = np.full(len(order), _LAST), np.full(len(order), np.iinfo(np.int64).min)
         np.minimum.at(least, of, self.ids[self.text[runs_]])
         np.maximum.at(most, of, self.ids[self.text[runs_]])
-        keys = self.keys[np.fromiter((k for k, _ in order), dtype=np.int64, count=len(order))]
-        return [s for _, s in order], keys, least, most, runs_, of
+        keys = np.empty(len(order), dtype=np.uint64)
+        keys[of] = self.key[runs_]
+        return list(order), keys, least, most, runs_, of
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -163,72 +172,93 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 # ---- merging transforms ---------------------------------------------------------------------
 
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Burrows-Wheeler transform of strings, each followed by a symbol below all bytes, over their
-    rotations: (symbols before the rows, string of each row, offset of each row)."""
-    sizes = np.array([len(s) + 1 for s in strings])
-    symbols = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.uint16) + 1
-    ends = np.cumsum(sizes)
-    symbols[ends - 1] = 0
-    of = np.repeat(np.arange(len(strings)), sizes)
-    first = (ends - sizes)[of]
-    offset = np.arange(len(symbols)) - first
-    size = sizes[of]
-    # rows are sorted deep enough for every comparison that the merge makes
-    words, at = [], offset.copy()
-    for _ in range(-(-(LENGTH + 6) // 4)):
-        word = np.zeros(len(symbols), dtype=np.uint64)
-        for _ in range(4):
-            word = (word << np.uint64(9)) | symbols[first + at].astype(np.uint64)
-            at += 1
-            at[at == size] = 0
-        words.append(word)
-    order = np.lexsort(words[::-1])
-    before = np.where(offset == 0, size - 1, offset - 1)
-    return symbols[first + before][order], of[order], offset[order]
-
-
-def merge(transforms: list[np.ndarray], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of sorted rows by their first ``depth`` symbols: the source of each row, and for
-    each row the number of symbols it has in common with the row before it, up to ``depth``."""
-    source = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
+def _symbols(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The strings one after the other, each with an end symbol below all others, as ranks of the
+    bytes that occur, from 2 on (UTF-8 leaves bytes unused, so they fit); and the ends."""
+    raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    ends = np.cumsum([len(s) + 1 for s in strings])
+    there = np.zeros(256, dtype=bool)
+    text = np.ones(len(raw), dtype=bool)
+    text[ends - 1] = False
+    there[raw[text]] = True
+    if there.sum() > 254:
+        raise ValueError("texts use more byte values than UTF-8 has")
+    out = (np.cumsum(there) + 1).astype(np.uint8)[raw]
+    out[ends - 1] = 1
+    return out, ends
+
+
+def transform(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Burrows-Wheeler transform of ended strings over their rotations: (symbol before each row,
+    string of each row, offset of each row)."""
+    first = np.concatenate(([0], ends[:-1]))
+    sizes = ends - first
+    deep = LENGTH + 6  # rows are sorted deep enough for every comparison that the merge makes
+    # each string twice over, or as often as it takes, so that a rotation is a window
+    times = 1 + -(-deep // sizes)
+    room = np.cumsum(sizes * times)
+    at = np.arange(room[-1]) - np.repeat(room - sizes * times, sizes * times)
+    long_ = symbols[np.repeat(first, sizes * times) + at % np.repeat(sizes, sizes * times)]
+    of = np.repeat(np.arange(len(ends)), sizes)
+    offset = np.arange(len(symbols)) - first[of]
+    rows = np.lib.stride_tricks.sliding_window_view(long_, deep)[(room - sizes * times)[of] + offset]
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{deep}").ravel(), kind="stable")
+    before = np.where(offset == 0, sizes[of] - 1, offset - 1)
+    return symbols[first[of] + before][order], of[order], offset[order]
+
+
+def merge(transforms: list[np.ndarray], depth: int = LENGTH, step: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of the rows of sorted transforms by their first ``depth`` symbols, ``step``
+    symbols a round: the rows, numbered through all transforms, in merged order, and how many
+    symbols each has in common with the one before it, in whole steps and up to ``depth``."""
     symbols = np.concatenate(transforms)
-    common = np.full(len(source), depth, dtype=np.uint8)
+    back, at = np.empty(len(symbols), dtype=np.int32), 0
+    for t in transforms:  # where the row with one more symbol in front stands in its transform
+        back[at + np.argsort(t, kind="stable")] = at + np.arange(len(t))
+        at += len(t)
+    # the steps before a row as one symbol, by rank
+    block, to = np.zeros(len(symbols), dtype=np.uint64), np.arange(len(symbols))
+    for k in range(step):
+        block |= symbols[to].astype(np.uint64) << np.uint64(8 * k)
+        to = back[to]
+    names, block = np.unique(block, return_inverse=True)
+    block = block.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
+    row, part = np.arange(len(symbols), dtype=np.int32), np.zeros(len(symbols), dtype=np.int32)
+    common = np.full(len(symbols), depth, dtype=np.uint8)
     common[0] = 0
-    part = np.zeros(len(source), dtype=np.int32)
-    for k in range(depth):
-        # the next symbols of each source, in the current order of its rows
-        now = np.empty_like(symbols)
-        now[np.argsort(source, kind="stable")] = symbols
+    for k in range(0, depth, step):
+        now = block[row]
         order = np.argsort(now, kind="stable")
-        source, now, part = source[order], now[order], part[order]
+        row, now, part = to[row[order]], now[order], part[order]
         new = (now[1:] != now[:-1]) | (part[1:] != part[:-1])
         part = np.concatenate(([0], np.cumsum(new, dtype=np.int32)))
         fresh = np.flatnonzero(new) + 1
         common[fresh] = np.minimum(common[fresh], k)
-    return source, common
+    return row, common
 
 
-def least_ids(strings: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For every string the smallest id of each of its windows, over all the strings."""
+def least_ids(strings: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id of every window of every string, over all the strings, one string after the
+    other; and where each string's windows begin (and the last ones end)."""
     shards = [range(i, len(strings), SHARDS) for i in range(min(SHARDS, len(strings)))]
-    made = [transform([strings[i] for i in s]) for s in shards]
-    source, common = merge([m[0] for m in made])
-    rows = np.argsort(source, kind="stable")  # row of the merge for each row of each shard
-    string = np.concatenate([np.asarray(s)[m[1]] for s, m in zip(shards, made)])
-    offset = np.concatenate([m[2] for m in made])
-    at = np.empty_like(string)
-    at[rows] = np.arange(len(rows))
-    string, offset = string[at], offset[at]  # in merged order
-    sizes = np.array([len(s) for s in strings])
+    symbols, ends = _symbols(strings)
+    first = np.concatenate(([0], ends[:-1]))
+    made = []
+    for s in shards:
+        own = np.concatenate([symbols[first[i]:ends[i]] for i in s])
+        made.append(transform(own, np.cumsum([ends[i] - first[i] for i in s])))
+    row, common = merge([m[0] for m in made], step=STEP)
+    string = np.concatenate([np.asarray(s)[m[1]] for s, m in zip(shards, made)])[row]
+    offset = np.concatenate([m[2] for m in made])[row]
+    sizes = ends - first - 1
     whole = offset + LENGTH <= sizes[string]
     interval = np.cumsum(common < LENGTH) - 1
     least = np.full(interval[-1] + 1, _LAST)
     np.minimum.at(least, interval[whole], ids[string[whole]])
-    counts = sizes - LENGTH + 1
-    flat = np.empty(counts.sum(), dtype=np.int64)
-    flat[(np.cumsum(counts) - counts)[string[whole]] + offset[whole]] = least[interval[whole]]
-    return np.split(flat, np.cumsum(counts)[:-1])
+    begin = np.concatenate(([0], np.cumsum(sizes - LENGTH + 1)))
+    flat = np.empty(begin[-1], dtype=np.int64)
+    flat[begin[string[whole]] + offset[whole]] = least[interval[whole]]
+    return flat, begin
 
 
 # ---- jobs -----------------------------------------------------------------------------------
@@ -318,32 +348,40 @@ def _send(buckets: int):
 def _intervals(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket: for each batch (string, first window, window after the last, smallest id)
     wherever that id is smaller than some of the batch's."""
-    ids: dict[tuple[int, bytes], int] = {}
+    ids: dict[bytes, int] = {}
+    key: dict[bytes, int] = {}  # equal strings have equal keys
     parts = []
     for blob in frame["blob"]:
         steps, sizes, data, least, most = _spread(blob)
         raw, ends = data.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
-        own = [(k, raw[a:b]) for k, a, b in zip(np.cumsum(steps, dtype=np.uint64).tolist(), [0, *ends[:-1]], ends)]
+        own = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        key.update(zip(own, np.cumsum(steps, dtype=np.uint64).tolist()))
         for s, i in zip(own, least.tolist()):
             if ids.get(s, _LAST) >= i:
                 ids[s] = i
         parts.append((own, most))
-    order = sorted(ids)
-    lists: dict[tuple[int, bytes], np.ndarray] = {}
+    order = sorted(ids, key=key.__getitem__)
+    place: dict[bytes, tuple[int, int, int]] = {}  # group, and its windows' bounds there
+    groups, lowest = [], {}
     at = 0
     while at < len(order):  # strings of one key stay together
         to = min(len(order), at + MERGE_STRINGS)
-        while to < len(order) and order[to][0] == order[to - 1][0]:
+        while to < len(order) and key[order[to]] == key[order[to - 1]]:
             to += 1
         some = order[at:to]
-        lists |= dict(zip(some, least_ids([s for _, s in some], np.array([ids[s] for s in some]))))
+        flat, begin = least_ids(some, np.array([ids[s] for s in some]))
+        bounds = begin.tolist()
+        place |= {s: (len(groups), a, b) for s, a, b in zip(some, bounds, bounds[1:])}
+        lowest |= dict(zip(some, np.minimum.reduceat(flat, begin[:-1]).tolist()))
+        groups.append(flat)
         at = to
     blobs = []
     for own, most in parts:
         rows: list[tuple[int, int, int, int]] = []
         for n, (s, high) in enumerate(zip(own, most.tolist())):
-            low = lists[s]
-            if low.min() < high:
+            if lowest[s] < high:
+                g, x, y = place[s]
+                low = groups[g][x:y]
                 cuts = [0, *(np.flatnonzero(low[1:] != low[:-1]) + 1).tolist(), len(low)]
                 rows += [(n, a, b, int(low[a])) for a, b in zip(cuts, cuts[1:]) if low[a] < high]
         table = np.array(rows, dtype=np.int64).reshape(-1, 4)

@@ -136,19 +136,21 @@ def test_merged_transforms_and_common_prefixes():
     for s, i in zip(strings, ids.tolist()):
         for p in range(len(s) - 49):
             least[s[p:p + 50]] = min(least.get(s[p:p + 50], i), i)
-    for s, found in zip(strings, passages.least_ids(strings, ids)):
-        assert found.tolist() == [least[s[p:p + 50]] for p in range(len(s) - 49)]
-    made = [passages.transform(strings[i::3]) for i in range(3)]
-    source, common = passages.merge([m[0] for m in made], 12)
-    at, rows = [0, 0, 0], []
-    for z in source.tolist():
-        s, p = strings[z::3][made[z][1][at[z]]], made[z][2][at[z]]
-        at[z] += 1
-        turned = [c + 1 for c in s[p:]] + [0] + [c + 1 for c in s[:p]]
-        rows.append(turned[:12])
-    assert rows == sorted(rows)
-    for a, b, n in zip(rows, rows[1:], common[1:].tolist()):
-        assert n == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), 12)
+    flat, begin = passages.least_ids(strings, ids)
+    for s, a, b in zip(strings, begin, begin[1:]):
+        assert flat[a:b].tolist() == [least[s[p:p + 50]] for p in range(len(s) - 49)]
+    shards = [strings[i::3] for i in range(3)]
+    made = [passages.transform(*passages._symbols(s)) for s in shards]
+    turned = []
+    for s, (_, string, offset) in zip(shards, made):
+        turned += [([c + 1 for c in s[i][p:]] + [0] + [c + 1 for c in s[i][:p]])[:12] for i, p in zip(string, offset)]
+    for step in (1, 2, 3, 4):
+        row, common = passages.merge([m[0] for m in made], 12, step)
+        rows = [turned[i] for i in row]
+        assert rows == sorted(rows)
+        for a, b, n in zip(rows, rows[1:], common[1:].tolist()):
+            alike = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), 12)
+            assert n == alike // step * step
 
 
 # --- decontamination
