@@ -117,14 +117,17 @@ def _starts(word: bytes) -> list[bytes]:
 
 def telling_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
     """Words, and beginnings of words, that toxic texts have and ordinary ones hardly."""
-    def documents_with(texts):
+    def documents_with(texts, among=None):
         n = Counter()
         for text in texts:
             words = set(_WORD.findall(text.lower().encode("utf-8", "surrogatepass")))
-            n.update({s for w in words for s in _starts(w)})
+            starts = {s for w in words for s in _starts(w)}
+            n.update(starts if among is None else starts & among)
         return n
 
-    a, b = documents_with(toxic), documents_with(ordinary)
+    a = documents_with(toxic)
+    a = {w: n for w, n in a.items() if n >= 4}
+    b = documents_with(ordinary, a.keys())
     share = len(toxic) / (len(toxic) + len(ordinary))
 
     def surprise(n: int, total: int) -> float:
@@ -132,7 +135,7 @@ def telling_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
         rate = n / total
         return total * (rate * math.log(rate / share) + ((1 - rate) * math.log((1 - rate) / (1 - share)) if n < total else 0))
 
-    return {w for w, n in a.items() if n / len(toxic) >= TELL_TIMES * b[w] / max(1, len(ordinary)) and n >= 4
+    return {w for w, n in a.items() if n / len(toxic) >= TELL_TIMES * b[w] / max(1, len(ordinary))
             and surprise(n, n + b[w]) >= TELL_SURPRISE}
 
 
