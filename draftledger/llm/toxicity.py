@@ -2,7 +2,7 @@
 
 Training (labelled rows whose crc32(doc_id as text) mod 5 is not 0, a bounded sample):
 
-* texts that share a long line with an earlier sampled text are left out, so copies do not count twice;
+* equal texts count once; near-copies stay together in one fold and count once where words are counted;
 * words of toxic texts that ordinary texts hardly have are found by comparing document counts,
   and the toxic dictionary is trained on those passages of the toxic texts; the ordinary
   dictionary is trained on the windows of ordinary texts. Both serve as plain content, without
@@ -22,6 +22,7 @@ columns of the input never clash with the working columns.
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -48,6 +49,9 @@ TELL_TIMES, TELL_SURPRISE = 10, 9
 #: are trained on the others.
 FOLDS = 3
 THRESHOLD = 0.5
+#: Near-copies count once: hash functions of a sketch, share of equal hashes, groups looked at for each hash pair.
+HASHES, ALIKE, HELD = 64, 0.4, 16
+_MULTIPLY, _ADD = np.random.default_rng(1).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64) | np.uint64(1)
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -100,14 +104,32 @@ class Lengths:
         return out
 
 
-def _no_copies(texts: list[str]) -> list[str]:
-    seen, out = set(), []
-    for text in texts:
-        lines = {line for line in text.split("\n") if len(line) > 40}
-        if not lines & seen:
-            out.append(text)
-        seen |= lines
-    return out
+def _sketch(text: str) -> np.ndarray:
+    """Least hashes of the runs of three words, under ``HASHES`` hash functions."""
+    words = text.lower().split()
+    grams = {" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+    base = np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) for g in grams], dtype=np.uint64)
+    return ((base[:, None] * _MULTIPLY + _ADD) >> np.uint64(32)).min(axis=0)
+
+
+def near_copies(texts: list[str]) -> list[list[str]]:
+    """The distinct texts, near-copies in one group: of their runs of three words, a share of about
+    ``ALIKE`` or more is in both. A line that many texts have does not make them alike."""
+    at, groups, sketches = {}, [], []
+    for text in dict.fromkeys(texts):
+        sketch = _sketch(text)
+        keys = [(i, sketch[i:i + 2].tobytes()) for i in range(0, HASHES, 2)]
+        near = dict.fromkeys(g for k in keys for g in at.get(k, ()) if (sketches[g] == sketch).mean() >= ALIKE)
+        if near:
+            groups[next(iter(near))].append(text)
+            continue
+        for k in keys:
+            at.setdefault(k, [])
+            if len(at[k]) < HELD:
+                at[k].append(len(groups))
+        groups.append([text])
+        sketches.append(sketch)
+    return groups
 
 
 def _starts(word: bytes) -> list[bytes]:
@@ -115,12 +137,13 @@ def _starts(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b"*" for n in range(4, min(len(word), 12)))]
 
 
-def telling_words(toxic: list[str], ordinary: list[str]) -> set[bytes]:
-    """Words, and beginnings of words, that toxic texts have and ordinary ones hardly."""
-    def documents_with(texts, among=None):
+def telling_words(toxic: list[list[str]], ordinary: list[list[str]]) -> set[bytes]:
+    """Words, and beginnings of words, that toxic texts have and ordinary ones hardly; a group of
+    near-copies counts as one text."""
+    def documents_with(groups, among=None):
         n = Counter()
-        for text in texts:
-            words = set(_WORD.findall(text.lower().encode("utf-8", "surrogatepass")))
+        for group in groups:
+            words = {w for text in group for w in _WORD.findall(text.lower().encode("utf-8", "surrogatepass"))}
             starts = {s for w in words for s in _starts(w)}
             n.update(starts if among is None else starts & among)
         return n
@@ -148,15 +171,15 @@ def _trained(samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[:DICTIONARY]
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic)."""
+def dictionaries(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, bytes]:
+    """(ordinary, toxic), from groups of near-copies."""
     tells = telling_words(toxic, ordinary)
     passages = []
-    for text in toxic:
+    for text in (t for group in toxic for t in group):
         found = [w for w in _WORD.findall(text.lower().encode("utf-8", "surrogatepass")) if any(s in tells for s in _starts(w))]
         if found:
             passages.append(b" " + b"  ".join(found) + b" ")
-    plain = [w for text in ordinary for w in windows(text, WINDOWS[0])]
+    plain = [w for group in ordinary for text in group for w in windows(text, WINDOWS[0])]
     return _trained(plain), _trained(passages * 3)
 
 
@@ -174,7 +197,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0
 
 def fit(sample: list[tuple[str, int]], share: float) -> dict:
     """``sample``: texts with their label, in an order that has nothing to do with either."""
-    by = {y: _no_copies([t for t, label in sample if label == y]) for y in (0, 1)}
+    by = {y: near_copies([t for t, label in sample if label == y]) for y in (0, 1)}
     if not by[0] or not by[1]:
         return {"constant": share}
     x, y = [], []
@@ -182,8 +205,9 @@ def fit(sample: list[tuple[str, int]], share: float) -> dict:
         rest = {k: [t for i, t in enumerate(by[k]) if i % FOLDS != fold] or by[k] for k in by}
         lengths = Lengths(*dictionaries(rest[1], rest[0]))
         for k in by:
-            x += [lengths.features(t) for t in by[k][fold::FOLDS]]
-            y += [float(k)] * len(by[k][fold::FOLDS])
+            texts = [t for group in by[k][fold::FOLDS] for t in group]
+            x += [lengths.features(t) for t in texts]
+            y += [float(k)] * len(texts)
     x, y = np.array(x), np.array(y)
     ordinary, toxic = dictionaries(by[1], by[0])
     share = min(max(share, 0.01), 0.99)
