@@ -2,7 +2,7 @@
 
 import random
 
-from draftledger.llm import toxicity
+from draftledger.llm import pii, toxicity
 
 
 def prose(seed, n=80):
@@ -24,3 +24,13 @@ def test_toxicity_counts_near_copies_once():
     assert sorted(map(len, groups)) == [1, 10]
     ordinary = [[prose(i)] for i in range(100, 160)]
     assert not toxicity.telling_words(groups, ordinary)  # in ten near-copies, which are one text
+
+
+def test_personal_data_in_forms_that_no_base_pattern_matches(spark):
+    planted = ["2001:db8:85a3:8d3:1319:8a2e:370:7348", "fe80:1::8a2e:370:7348", "jane.doe(at)example(dot)org", "bob [at] mail.net", "020 7946 0958", "(555) 555-0100"]
+    plain = ["at 12:34:56:78 then", "00:1b:44:11:3a:b7", "on 2024-01-02 we", "number 1234567890123456", "a::b"]
+    texts = [f"please call {t} today" for t in planted] + [f"some words {t} more" for t in plain]
+    texts += [f"write to user{i}@example.com or +1 (555) 555-{i:04d}" for i in range(200)]
+    out = [r["text"] for r in pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert not [(t, o) for t, o in zip(planted, out) if t in o]
+    assert out[len(planted):len(planted) + len(plain)] == texts[len(planted):len(planted) + len(plain)]
