@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from draftledger.llm import decontaminate, extract, mixing, passages, pii, quality, secret_scan, simhash, toxicity, warc
+from draftledger.llm import (
+    audit, decontaminate, extract, fim, mixing, passages, pii, quality, secret_scan, shards, simhash, toxicity, warc)
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -15,10 +16,15 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_pii": pii.query,
     "op10_toxicity": toxicity.query,
+    "op11_shards": shards.query,
+    "op12_fim": fim.query,
+    "op13_audit": audit.query,
 }
 
 ORACLE_SQL = {
     "op4_mixing": mixing.ORACLE,
     "op7_warc": warc.ORACLE,
     "op8_decontaminate": decontaminate.ORACLE,
+    "op12_fim": fim.ORACLE,
+    "op13_audit": audit.ORACLE,
 }
