@@ -150,18 +150,24 @@ class Models:
     def pairs(self) -> DataFrame:
         return alternatives.better_pick_pairs(self.scored_table, self.round_multipliers, self.pair_bucket_width)
 
+    @cached_property
+    def _alternatives(self) -> alternatives.Alternatives:
+        return alternatives.Alternatives(self.scored_table, self.round_multipliers, self.pair_bucket_width)
+
+    @cached_property
+    def best_rows(self) -> DataFrame:
+        """Each beaten pick with its best alternative: M3, A3 and O3 read it."""
+        return self._alternatives.best_rows()
+
     @cached_property
     def best_alternative(self) -> DataFrame:
-        """M3, one row per pick. The top-1 runs on the join output: the map-side group limit
-        keeps one row per pick and task, so the pairs themselves are never shuffled. The pair
-        table is not written: its inputs are the small per-league pick lists, so recomputing
-        the join costs less than writing and re-reading its quadratic output."""
-        return alternatives.best_alternative(self.pairs)
+        """M3, one row per pick."""
+        return alternatives.best_alternative(self.best_rows)
 
     @cached_property
     def better_pick_stats(self) -> DataFrame:
         """A3, one row per drafted title."""
-        return alternatives.better_pick_stats(self.pairs)
+        return alternatives.better_pick_stats(self.best_rows, self._alternatives.counts())
 
     # league tables ---------------------------------------------------------------------
     def _scored_for_rows(self) -> DataFrame:
@@ -221,7 +227,7 @@ class Models:
     @cached_property
     def row_budget(self) -> DataFrame:
         """O3 needs the lengths of the tables, so it reads their unranked rows."""
-        worst = self.worst_rows
+        worst = self.released.join(alternatives.beaten_titles(self.best_rows), ["draft_id", "title"], "left_semi")
         names = self.released.select("draft_id", "drafted_by").distinct()
         return present.row_budget(self.leagues, names, self.released, worst, self.best_gains)
 

@@ -60,7 +60,8 @@ def test_few_tables_are_written_on_the_way(plans):
     for key in ("m1_base_query_int", "j13_missing_picks", "j14_under_min_revenue", "a5_freshness", "a6_league_done"):
         assert labels[key] == [], key
     assert labels["w5_revenue_rank"] == ["ranked"]
-    assert max(map(len, labels.values())) <= 6
+    for key, written in labels.items():  # the counts of A3 have a second layout and the ranks of the scores
+        assert len(written) <= 7, (key, written)
 
 
 def test_map_side_reduction_where_expected(plans):
