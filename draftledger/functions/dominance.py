@@ -15,7 +15,8 @@ larger than the query's. In a node the x is settled, and what is left is one ord
 * count: the same once more for y (by rank), then a running count in order of z. Items of the query's own
   owner are counted in a node of their own and taken off.
 
-A row has a copy per level, i.e. the logarithm of the number range; nothing is quadratic. A node may be as
+A row has a copy per level, i.e. the logarithm of the number range; nothing is quadratic. The lowest levels are
+left out: numbers that differ only there share a block of ``1 << NEAR_BITS`` numbers, whose rows ``near`` joins directly. A node may be as
 large as a group, so running values are made in two parts (``Layout``): one range shuffle, running values
 inside each partition, and what the node's earlier partitions bring along.
 """
@@ -33,26 +34,43 @@ from draftledger.session import materialize
 
 #: Level of the node for items without an x: they lie above every x.
 OPEN = -1
+#: Bits of x inside a block, and the rows that a block may have (more only if many share a number; then
+#: there are levels down to the last bit and no block is joined).
+NEAR_BITS, NEAR_ROWS = 10, 4096
+BLOCKS_PER_TASK = 4
 
 
 @dataclass(frozen=True)
 class Range:
-    """Over all groups: the least x, the bits of the range of x, whether an item has none, and the bits
-    of the number of rows of the largest group."""
+    """Over all groups: the least x, the bits of the range of x, whether an item has none, the bits of the
+    number of rows of the largest group, the bits that are left to ``near``, and the number of blocks."""
 
     least: int
     bits: int
     open: bool
     tall: int
+    near: int = 0
+    blocks: int = 0
+
+    @property
+    def far(self) -> bool:
+        """Whether any two rows can meet outside a block."""
+        return self.open or self.bits > self.near
 
 
 def x_range(queries: DataFrame, items: DataFrame, group: str) -> Range:
     """One aggregate; a single row comes to the driver."""
-    both = queries.select(group, "x", F.lit(False).alias("o")).unionByName(items.select(group, "x", F.col("x").isNull().alias("o")))
     x = F.col("x").cast("bigint")
-    by = both.groupBy(group).agg(F.min(x).alias("a"), F.max(x).alias("b"), F.max("o").alias("o"), F.count(F.lit(1)).alias("n"))
-    a, b, o, n = by.agg(F.min("a"), F.max("b"), F.max("o"), F.max("n")).first()
-    return Range(a or 0, max(1, ((b or 0) - (a or 0)).bit_length()), bool(o), max(1, (n or 0).bit_length()))
+    both = queries.select(group, x.alias("x"), F.lit(0).alias("o")).unionByName(
+        items.select(group, x.alias("x"), F.when(F.col("x").isNull(), 1).otherwise(0).alias("o")))
+    # blocks are counted from zero here and from the least x later: two of these cover one of those
+    by_block = both.groupBy(group, F.shiftright("x", NEAR_BITS).alias("_b")).agg(
+        F.min("x").alias("a"), F.max("x").alias("b"), F.max("o").alias("o"), F.count(F.lit(1)).alias("n"), F.count("x").alias("m"))
+    by = by_block.groupBy(group).agg(F.min("a").alias("a"), F.max("b").alias("b"), F.max("o").alias("o"), F.sum("n").alias("n"),
+                                     F.max("m").alias("m"), F.count("a").alias("k"))
+    a, b, o, n, m, k = by.agg(F.min("a"), F.max("b"), F.max("o"), F.max("n"), F.max("m"), F.sum("k")).first()
+    near = NEAR_BITS if (m or 0) <= NEAR_ROWS else 0
+    return Range(a or 0, max(1, ((b or 0) - (a or 0)).bit_length()), bool(o), max(1, (n or 0).bit_length()), near, 2 * (k or 0))
 
 
 class Layout:
@@ -76,13 +94,13 @@ class Layout:
         return rows.join(blocks, [*self.by, "_part"], "left")
 
 
-def _nodes(number: Column, bits: int, width: int, keep) -> Column:
-    """(level, node, digit) of ``number`` on every level whose digit (of ``width`` bits) is kept."""
+def _nodes(number: Column, bits: int, width: int, keep, skip: int = 0) -> Column:
+    """(level, node, digit) of ``number`` on every level above ``skip`` bits whose digit (of ``width`` bits) is kept."""
     every = F.array(*[F.struct(
         F.lit(b).alias("level"), F.shiftright(number, width * (b + 1)).alias("node"),
         F.shiftright(number, width * b).bitwiseAND(F.lit((1 << width) - 1)).cast("int").alias("digit"))
-        for b in range(-(-bits // width))])
-    return F.filter(every, lambda s: keep(s["digit"]))
+        for b in range(skip // width, -(-bits // width))])
+    return F.filter(every, lambda s: keep(s["digit"])) if bits > skip else F.slice(_open(0), 1, 0)
 
 
 def _open(digit: int) -> Column:
@@ -92,7 +110,7 @@ def _open(digit: int) -> Column:
 def _with_x(df: DataFrame, of: Range, width: int, item: bool) -> DataFrame:
     """One row per node of x, its struct in ``nx``."""
     top = (1 << width) - 1
-    some = _nodes(F.col("x").cast("bigint") - F.lit(of.least), of.bits, width, (lambda d: d > 0) if item else (lambda d: d < top))
+    some = _nodes(F.col("x").cast("bigint") - F.lit(of.least), of.bits, width, (lambda d: d > 0) if item else (lambda d: d < top), of.near)
     if item:  # an item without x stands above every query, in a node of its own
         found = F.when(F.col("x").isNull(), _open(1)).otherwise(some)
     elif of.open:  # a query without x sees only those
@@ -102,9 +120,24 @@ def _with_x(df: DataFrame, of: Range, width: int, item: bool) -> DataFrame:
     return df.withColumn("nx", F.explode(found))
 
 
+def near(queries: DataFrame, items: DataFrame, group: str, of: Range, also: Column | None = None, how: str = "inner") -> DataFrame:
+    """Pairs of a query and an item of another owner that dominates it, of one block; the item's columns
+    are ``i_``. ``also``: a further condition; ``how``: "left_semi" for the queries that have any. A block has at most ``NEAR_ROWS`` rows, so the pairs are linear in the rows."""
+    block = F.shiftright(F.col("x").cast("bigint") - F.lit(of.least), of.near).alias("_block")
+    parts = max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of.blocks // BLOCKS_PER_TASK))
+    # few rows make many pairs: the tasks are counted by blocks, not by the size of the input
+    q = queries.where("x is not null").select("*", block).repartition(parts, group, "_block")
+    i = items.where("x is not null").select("*", block)
+    i = i.select(F.col("_block").alias("_i_block"), *[F.col(c).alias(f"i_{c}") for c in items.columns]).repartition(parts, f"i_{group}", "_i_block")
+    above = ((q[group] == i[f"i_{group}"]) & (q["_block"] == i["_i_block"])
+             & (F.col("i_x") > F.col("x")) & (F.col("i_y") > F.col("y")) & (F.col("i_owner") != F.col("owner")))
+    return q.join(i, above if also is None else above & also, how).drop("_block", "_i_block", f"i_{group}")
+
+
 def best_above(queries: DataFrame, items: DataFrame, group: str, of: Range | None = None) -> DataFrame:
     """``queries``: (group, qid, x, y, owner); ``items``: (group, x, y, owner, value), the least value
-    being the best. One row (group, qid, value) for every query that an item of another owner dominates."""
+    being the best. One row (group, qid, value) for every query that an item of another owner and outside the
+    query's block dominates."""
     of = of or x_range(queries, items, group)
     q = _with_x(queries, of, 1, False).select(group, "nx.level", "nx.node", "y", F.lit(0).alias("kind"), "owner", "qid")
     i = _with_x(items, of, 1, True).select(group, "nx.level", "nx.node", "y", F.lit(1).alias("kind"), "owner", "value")
@@ -130,7 +163,8 @@ def best_above(queries: DataFrame, items: DataFrame, group: str, of: Range | Non
 
 def count_above(queries: DataFrame, items: DataFrame, group: str, of: Range | None = None) -> DataFrame:
     """``queries``: (group, qid, x, y, z, owner); ``items``: (group, x, y, z, owner). One row (group, qid, n) for every
-    query that has any node: the items of other owners with larger x and y and a z of at least the query's."""
+    query that has any node: the items of other owners and outside the query's block with larger x and y and
+    a z of at least the query's."""
     width, top = 2, 3
     of = of or x_range(queries, items, group)
     heights = row_number_within(queries.select(group, "y").union(items.select(group, "y")).distinct(), [group], [F.col("y").asc()], "rank_")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from draftledger.functions.columns import asc, desc
-from draftledger.functions.dominance import Range, best_above, count_above
+from draftledger.functions.dominance import best_above, count_above, near, x_range
 from draftledger.functions.joins import later_and_better
 from draftledger.functions.windows import first_per_key
 from draftledger.session import materialize
@@ -96,16 +96,9 @@ class Alternatives:
     def __init__(self, scored: DataFrame, round_mult: DataFrame, width: int = 128):
         self.picks, self.cands = _picks(scored, round_mult), _candidates(scored)
         unordered = unordered_titles(self.picks)
-        # one row: the ranges of pick numbers, the largest league, and whether any title is unordered
-        by_league = self.picks.groupBy("draft_id").agg(
-            F.min("overall_pick").alias("a"), F.max("overall_pick").alias("b"), F.max(F.col("overall_pick").isNull()).alias("o"),
-            F.count(F.lit(1)).alias("n"))
-        a, b, open_, n, odd = by_league.agg(F.min("a"), F.max("b"), F.max("o"), F.max("n")).join(
-            unordered.agg(F.count(F.lit(1)).alias("odd")), F.lit(True)).first()
-        self.range = Range(a or 0, max(1, ((b or 0) - (a or 0)).bit_length()), bool(open_), max(1, (2 * (n or 0)).bit_length()))
         self.by_pair = None
         ordered_picks, ordered_cands = self.picks, self.cands
-        if odd:
+        if not unordered.isEmpty():
             unordered = materialize(unordered, "unordered")
             as_cand = unordered.withColumnRenamed("title", "better_pick_title")
             ordered_picks = self.picks.join(unordered, TITLE, "left_anti")
@@ -120,30 +113,56 @@ class Alternatives:
             F.col("overall_pick").alias("x"), (score + 0.0).alias("y"), F.col("_p_by").alias("owner"))
         score = F.col("_c_score").cast("double")
         self.items = ordered_cands.filter(score.isNotNull()).select(
-            "draft_id", F.col("_c_pick").alias("x"), (score + 0.0).alias("y"), F.col("_c_by").alias("owner"),
+            "draft_id", F.col("_c_pick").alias("x"), (score + 0.0).alias("y"), F.col("_c_by").alias("owner"), F.col("_c_rev").alias("z"),
             F.struct((-F.col("_c_rev")).alias("less"), F.col("better_pick_title").alias("title")).alias("value"))
+        self.range = x_range(self.queries, self.items, "draft_id")
 
-    def best_rows(self) -> DataFrame:
-        """One row for every pick that a later one beats: its best alternative and what it missed."""
-        found = best_above(self.queries, self.items, "draft_id", self.range)
+    def _beaten(self, found: DataFrame) -> DataFrame:
+        """Of (qid, value) the picks whose best alternative would have earned more. More revenue is a larger
+        miss, so if the best one misses nothing no other does."""
         hypo = F.col("qid.factor") * (-F.col("value.less")).cast("double")
-        rows = found.select("draft_id", "qid.title", "qid.overall_pick", F.col("value.title").alias("better_pick_title"),
+        rows = found.select("*", "qid.title", "qid.overall_pick", F.col("value.title").alias("better_pick_title"),
                             hypo.alias("better_pick_scored_revenue"), (hypo - F.col("qid.score")).alias("missed_revenue"))
-        # more revenue is a larger miss, so if the best one misses nothing no other does
-        rows = rows.filter(F.col("missed_revenue") > 0)
-        if self.by_pair is not None:
-            rows = rows.unionByName(self.by_pair)
-        return rows
+        return rows.filter(F.col("missed_revenue") > 0)
 
-    def counts(self) -> DataFrame:
-        """Per title the number of distinct alternatives."""
-        q, factor, score = self.queries, F.col("qid.factor"), F.col("qid.score")
-        found = count_above(q.withColumn("z", least_revenue(factor, score)),
-                            self.items.withColumn("z", -F.col("value.less")), "draft_id", self.range)
-        rows = found.select("draft_id", "qid.title", "n")
+    def best_rows(self) -> DataFrame:
+        """One row for every pick that a later one beats: its best alternative and what it missed."""
+        found = near(self.queries, self.items, "draft_id", self.range).groupBy("draft_id", "qid").agg(F.min("i_value").alias("value"))
+        if self.range.far:
+            other = best_above(self.queries, self.items, "draft_id", self.range)
+            found = found.unionByName(other).groupBy("draft_id", "qid").agg(F.min("value").alias("value"))
+        cols = [*TITLE, "overall_pick", "better_pick_title", "better_pick_scored_revenue", "missed_revenue"]
+        rows = self._beaten(found).select(*cols)
+        return rows if self.by_pair is None else rows.unionByName(self.by_pair.select(*cols))
+
+    def beaten(self) -> DataFrame:
+        """The titles that A3 has a row for, without their numbers (all that O3 needs)."""
+        q = self.queries.withColumn("z", least_revenue(F.col("qid.factor"), F.col("qid.score")))
+        rows = near(q, self.items, "draft_id", self.range, F.col("i_z") >= F.col("z"), "left_semi").select("draft_id", "qid.title")
+        if self.range.far:
+            rows = rows.unionByName(self._beaten(best_above(self.queries, self.items, "draft_id", self.range)).select(*TITLE))
         if self.by_pair is not None:
-            rows = rows.unionByName(self.by_pair.groupBy(*TITLE).agg(F.countDistinct("better_pick_title").alias("n")))
-        return rows.groupBy(*TITLE).agg(F.sum("n").alias("number_of_better_picks"))
+            rows = rows.unionByName(self.by_pair.select(*TITLE))
+        return rows.distinct() if self.range.far or self.by_pair is not None else rows
+
+    def stats(self) -> DataFrame:
+        """A3: per beaten title the number of distinct alternatives and the largest miss."""
+        q = self.queries.withColumn("z", least_revenue(F.col("qid.factor"), F.col("qid.score")))
+        enough = near(q, self.items, "draft_id", self.range, F.col("i_z") >= F.col("z"))
+        found = enough.groupBy("draft_id", "qid").agg(F.min("i_value").alias("value"), F.count(F.lit(1)).alias("n"))
+        if self.range.far:
+            best = best_above(self.queries, self.items, "draft_id", self.range).withColumn("n", F.lit(0).cast("long"))
+            n = count_above(q, self.items, "draft_id", self.range)
+            found = (found.unionByName(best).unionByName(n, allowMissingColumns=True).groupBy("draft_id", "qid")
+                     .agg(F.min("value").alias("value"), F.sum("n").alias("n")))
+        rows = self._beaten(found).select(*TITLE, F.col("n").alias("number_of_better_picks"),
+                                          F.col("missed_revenue").alias("max_better_pick_revenue"))
+        if self.by_pair is not None:  # an ordered title may have alternatives of both kinds, of different titles
+            more = self.by_pair.groupBy(*TITLE).agg(F.countDistinct("better_pick_title").alias("number_of_better_picks"),
+                                                    F.max("missed_revenue").alias("max_better_pick_revenue"))
+            rows = rows.unionByName(more).groupBy(*TITLE).agg(
+                F.sum("number_of_better_picks").alias("number_of_better_picks"), F.max("max_better_pick_revenue").alias("max_better_pick_revenue"))
+        return rows
 
 
 def least_revenue(factor: Column, score: Column) -> Column:
@@ -162,14 +181,3 @@ def best_alternative(best_rows: DataFrame) -> DataFrame:
     top = first_per_key(known, ["draft_id", "overall_pick"],
                         [desc("better_pick_scored_revenue"), asc("better_pick_title")])
     return top.select("draft_id", "overall_pick", "better_pick_title", "better_pick_scored_revenue")
-
-
-def better_pick_stats(best_rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """A3: per drafted title, how many distinct alternatives beat it and the largest miss."""
-    most = best_rows.groupBy(*TITLE).agg(F.max("missed_revenue").alias("max_better_pick_revenue"))
-    return most.join(counts, TITLE).select(*TITLE, "number_of_better_picks", "max_better_pick_revenue")
-
-
-def beaten_titles(best_rows: DataFrame) -> DataFrame:
-    """The titles that A3 has a row for, without their numbers (all that O3 needs)."""
-    return best_rows.select(*TITLE).distinct()
