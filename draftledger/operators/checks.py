@@ -41,12 +41,15 @@ def newest_snapshot_floor(snap: DataFrame, season: Season, years: DataFrame | No
                                           F.max_by("_least", "loaded_date").alias("min_revenue"))
 
 
-def under_floor_titles(state: DataFrame, snap: DataFrame, released: DataFrame, season: Season,
-                       years: DataFrame | None = None) -> DataFrame:
+def season_floor(floors: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
+    """A7 from the merged state of the history (``operators.history.floor_state``)."""
+    return in_season(floors, season, years).select("draft_id", "newest_date", "min_revenue")
+
+
+def under_floor_titles(state: DataFrame, floor: DataFrame, released: DataFrame) -> DataFrame:
     """Released titles whose newest in-season revenue (from the per-title state that scored
-    them) is at or below that floor."""
+    them) is at or below the league's floor."""
     latest = state.select("draft_id", "title", "revenue")
-    floor = newest_snapshot_floor(snap, season, years)
     return (latest.join(released.select("draft_id", "title"), ["draft_id", "title"])
             .join(floor, "draft_id")
             .filter(F.col("revenue") <= F.col("min_revenue"))
@@ -76,13 +79,12 @@ def league_done(released: DataFrame, leagues: DataFrame, season: Season, years:
                       done.alias("done"))
 
 
-def freshness(snap: DataFrame, done: DataFrame, season: Season) -> DataFrame:
-    """A5 + P20: newest publish time per league and the status text shown with it."""
-    if "draft_id" in snap.columns:
-        newest = snap.groupBy("draft_id").agg(F.max("published_timestamp_utc").alias("data_through"))
-    else:  # one history for all leagues has one newest time
-        of_all = snap.agg(F.max("published_timestamp_utc").alias("data_through")).withColumn("_all", F.lit(1))
-        newest = done.select("draft_id", F.lit(1).alias("_all")).join(of_all, "_all").drop("_all")
+def freshness(published: DataFrame, done: DataFrame, season: Season) -> DataFrame:
+    """A5 + P20: newest publish time per league (``operators.history.published_state``) and the status
+    text shown with it. One history for all leagues has one newest time."""
+    newest = published
+    if "draft_id" not in published.columns:
+        newest = done.select("draft_id", F.lit(1).alias("_all")).join(published.withColumn("_all", F.lit(1)), "_all").drop("_all")
     run = F.date_format(F.lit(season.run_time).cast("timestamp"), TIMESTAMP_TEXT)
     text = F.concat(
         F.lit(LAST_UPDATED + "\n"), run, F.lit(" UTC"),

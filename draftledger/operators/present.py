@@ -3,7 +3,7 @@ rows that fit it (O2). Nothing is collected: display frames are written per leag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from draftledger.sources.readers import read_model
@@ -42,7 +42,7 @@ def released_movies(base_query: DataFrame) -> DataFrame:
 def draftee_tabs(dashboard: DataFrame) -> DataFrame:
     """K3 + P18 + S7: each drafter's picks under display headings. Numbers keep their type and
     value; a missing text is blank, a missing (or NaN, infinite) number NULL, which a sheet
-    shows as an empty cell. Written partitioned by (draft_id, draftee_name): one job, no loop."""
+    shows as an empty cell. Written in order of (draft_id, draftee_name): one job, no loop."""
     blank = {c: F.coalesce(c, F.lit("")) for c in ("movie", "first_seen_date", "still_in_theaters", "better_pick")}
     shown = dashboard.withColumns(blank).select(
         "draft_id", "draftee_name", "round", "overall_pick", "movie", "first_seen_date", "still_in_theaters", "revenue",
@@ -128,10 +128,18 @@ def dashboard_tables(board: DataFrame, base_query: DataFrame, layout: DataFrame,
             "dashboard_best_picks": picks("best", BEST_HEADINGS)}
 
 
-def write_league_table(name: str, df: DataFrame, root: str, version: str) -> str:
-    """K1/K2/K3: one table of one version, partitioned by league (and drafter for the tabs).
-    Returns its folder."""
-    parts = ["draft_id", "draftee_name"] if "draftee_name" in df.columns and "draft" in name and name != "draftee_dashboard" else ["draft_id"]
+def write_league_table(name: str, df: DataFrame, root: str, version: str, buckets: int = 1) -> str:
+    """K1/K2/K3: one table of one version. Leagues are dealt to ``buckets`` folders by a hash and lie sorted in
+    them (a league's drafters too), so a league is one folder and a few row groups however many leagues there are.
+    The number of files follows the size: rows of a bucket come together, and a large bucket is split. Returns the
+    table's folder."""
     path = f"{root}/{name}/version={version}"
-    df.write.partitionBy(*parts).parquet(path)
+    order = [c for c in ("bucket", "draft_id", "draftee_name") if c == "bucket" or c in df.columns]
+    placed = df.withColumn("bucket", bucket_of(F.col("draft_id"), buckets)).hint("rebalance", "bucket")
+    placed.sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path)
     return path
+
+
+def bucket_of(league: Column, buckets: int) -> Column:
+    """The folder of a league."""
+    return F.pmod(F.xxhash64(league.cast("string")), F.lit(buckets)).cast("int")

@@ -18,6 +18,8 @@ from draftledger.params import Season
 
 KEYS = ["draft_id", "title"]
 MONEY = ["revenue", "domestic_rev", "foreign_rev"]
+#: Parts that the titles of one release year are dealt to when a shared history meets its leagues.
+YEAR_PARTS = 16
 
 
 def newest_per_year(snap: DataFrame, keys: list[str], depth: int) -> DataFrame:
@@ -47,30 +49,24 @@ def _activity_columns(season: Season, intended: bool) -> dict:
             "last_updated_date": at(0, "loaded_date"), "days_since_last_update": days, "still_in_theaters": still}
 
 
-def title_state(snap: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
-    """Per title of the season: its newest in-season snapshot (F1 + W2), the first day it was
-    seen over the whole history (W1, a hash aggregate) and whether it still earns (W3).
+def season_titles(history: DataFrame, season: Season, years: DataFrame | None = None) -> DataFrame:
+    """Per title of the season, from the title state of the history (``operators.history``): its newest
+    in-season snapshot (F1 + W2), the first day it was seen over the whole history (W1) and whether
+    it still earns (W3).
 
     ``years``: one row (draft_id, year) per league, for leagues of different seasons; else the
     one season holds for all. A history without ``draft_id`` is shared: its state is made
     once per title and then given to every league of the title's year.
     """
-    shared = "draft_id" not in snap.columns
-    keys = ["title"] if shared else KEYS
+    shared = "draft_id" not in history.columns
     if shared and years is None:
         raise ValueError("a shared history needs the leagues and their years")
-    seen = snap.groupBy(*keys).agg(F.min("loaded_date").alias("first_seen_date"))
-    newest = newest_per_year(snap, keys, 2)
-    on = newest[keys[0]].eqNullSafe(seen[keys[0]])
-    for k in keys[1:]:
-        on = on & newest[k].eqNullSafe(seen[k])
-    state = newest.join(seen, on).select(*[newest[k] for k in keys], "_newest", "first_seen_date")
-    state = state.withColumn("_act", _activity_columns(season, False)["still_in_theaters"])
+    state = history.withColumn("_act", _activity_columns(season, False)["still_in_theaters"])
     if years is not None:
         years = years.select("draft_id", F.col("year").cast("string").alias("_year")).distinct()
     if shared:
         by_year = state.withColumn("_year", F.explode(F.array_distinct(F.transform("_newest", lambda x: x["release_year"]))))
-        state = by_year.join(years, "_year")
+        state = _to_leagues(by_year, years)
     elif years is not None:
         state = state.join(years, "draft_id")
     else:
@@ -81,6 +77,14 @@ def title_state(snap: DataFrame, season: Season, years: DataFrame | None = None)
         F.col("_n.loaded_date").alias("loaded_date"), "first_seen_date", "_act")
 
 
+def _to_leagues(by_year: DataFrame, years: DataFrame) -> DataFrame:
+    """Every title to every league of its year. All titles of a year have one key, so both sides get a
+    second one: a title falls into one of ``YEAR_PARTS`` by its name, a league into each."""
+    part = F.pmod(F.xxhash64("title"), F.lit(YEAR_PARTS)).cast("int")
+    every = years.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(YEAR_PARTS - 1))))
+    return by_year.withColumn("_part", part).join(every, ["_year", "_part"]).drop("_part")
+
+
 def first_seen(snap: DataFrame, excl: DataFrame) -> DataFrame:
     """W1 alone: first day each non-excluded title was seen."""
     per_title = snap.groupBy(*KEYS).agg(F.min("loaded_date").alias("first_seen_date"))

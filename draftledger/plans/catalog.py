@@ -114,7 +114,7 @@ def _j4(spark, sf_dir):
 
 def _a5(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return checks.freshness(m.snapshots, m.league_done, SEASON)
+    return checks.freshness(m.published, m.league_done, SEASON)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -155,7 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j8_manual_flag": _on(lambda m: titles.manual_flag(m.base_titles, m.manual_adds, m.activity)),
     "j12_draftee_dashboard": _on(lambda m: m.draftee_dashboard),
     "j13_missing_picks": _on(lambda m: checks.missing_picks(m.drafter, m.released)),
-    "j14_under_min_revenue": _on(lambda m: checks.under_floor_titles(m.state, m.snapshots, m.released, SEASON, m.league_years)),
+    "j14_under_min_revenue": _on(lambda m: checks.under_floor_titles(m.state, m.floor, m.released)),
     # windows
     "w1_first_seen": _on(lambda m: titles.first_seen(m.snapshots, m.exclusions)),
     "w2_latest_snapshot": _on(lambda m: m.latest.drop("_act")),
@@ -178,7 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a4_draft_order": _on(lambda m: checks.draft_order(m.drafter)),
     "a5_freshness": _a5,
     "a6_league_done": _on(lambda m: m.league_done),
-    "a7_min_revenue": _on(lambda m: checks.newest_snapshot_floor(m.snapshots, SEASON)),
+    "a7_min_revenue": _on(lambda m: m.floor),
     "a9_duplicate_leagues": lambda s, d: checks.duplicate_leagues(testbed.league_configs(s, d, SEASON)),
     # order / limits
     "o1_standings_order": _on(lambda m: standings.standings_order(m.scoreboard)),

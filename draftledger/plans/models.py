@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from draftledger.operators import alternatives, checks, clean, present, standings, titles
+from draftledger.operators import alternatives, checks, clean, history, present, standings, titles
 from draftledger.params import DEFAULT_SEASON, Season
 from draftledger.session import materialize
 from draftledger.sources import readers, testbed
@@ -20,13 +20,14 @@ class Models:
     def __init__(self, spark: SparkSession, season: Season = DEFAULT_SEASON, *,
                  snapshots=None, draft_text=None, rules_text=None, manual_adds_text=None,
                  sf_dir: str | None = None, pair_bucket_width: int = 128,
-                 materialize_shared: bool = True, league_years=None):
+                 materialize_shared: bool = True, league_years=None, history_state: history.History | None = None):
         self.spark = spark
         self.season = season
         self.sf_dir = sf_dir
         self.pair_bucket_width = pair_bucket_width
         self.materialize_shared = materialize_shared
         self.league_years = league_years  # (draft_id, year) per league; None: the season's year for all
+        self.history_state = history_state  # the merged state of the history, in place of its snapshots
         self._given = {"raw_snapshots": snapshots, "draft_text": draft_text,
                        "rules_text": rules_text, "manual_adds_text": manual_adds_text}
 
@@ -110,7 +111,19 @@ class Models:
     # title scoring (M1) ----------------------------------------------------------------
     @cached_property
     def state(self) -> DataFrame:
-        return titles.title_state(self.snapshots, self.season, self.league_years)
+        known = self.history_state.titles if self.history_state else history.title_state(self.snapshots, 2)
+        return titles.season_titles(known, self.season, self.league_years)
+
+    @cached_property
+    def floor(self) -> DataFrame:
+        """A7, one row per league."""
+        if self.history_state:
+            return checks.season_floor(self.history_state.floors, self.season, self.league_years)
+        return checks.newest_snapshot_floor(self.snapshots, self.season, self.league_years)
+
+    @cached_property
+    def published(self) -> DataFrame:
+        return self.history_state.published if self.history_state else history.published_state(self.snapshots)
 
     @cached_property
     def latest(self) -> DataFrame:
@@ -156,7 +169,7 @@ class Models:
 
     @cached_property
     def best_rows(self) -> DataFrame:
-        """Each beaten pick with its best alternative: M3, A3 and O3 read it."""
+        """Each beaten pick with its best alternative."""
         return self._alternatives.best_rows()
 
     @cached_property
@@ -167,7 +180,7 @@ class Models:
     @cached_property
     def better_pick_stats(self) -> DataFrame:
         """A3, one row per drafted title."""
-        return alternatives.better_pick_stats(self.best_rows, self._alternatives.counts())
+        return self._alternatives.stats()
 
     # league tables ---------------------------------------------------------------------
     def _scored_for_rows(self) -> DataFrame:
@@ -227,7 +240,7 @@ class Models:
     @cached_property
     def row_budget(self) -> DataFrame:
         """O3 needs the lengths of the tables, so it reads their unranked rows."""
-        worst = self.released.join(alternatives.beaten_titles(self.best_rows), ["draft_id", "title"], "left_semi")
+        worst = self.released.join(self._alternatives.beaten(), ["draft_id", "title"], "left_semi")
         names = self.released.select("draft_id", "drafted_by").distinct()
         return present.row_budget(self.leagues, names, self.released, worst, self.best_gains)
 
@@ -247,5 +260,5 @@ class Models:
             "draftee_tabs": present.draftee_tabs(self.draftee_dashboard),
             "drafter_scoreboard": present.drafter_scoreboards(checks.drafter_scoreboard(self.draft, self.scoreboard)),
             "row_budget": self.row_budget,
-            "freshness": checks.freshness(self.snapshots, self.league_done, self.season),
+            "freshness": checks.freshness(self.published, self.league_done, self.season),
         }

@@ -1,60 +1,68 @@
 """Refresh of every league, or of some (the scheduled entry point of the reference, as one job).
 
 Reads the league inputs from Parquet, computes every model and writes each one as a version of its
-own, ``out_root/<table>/version=<id>/draft_id=<league>/``. Nothing is overwritten or deleted; a
-refresh that stops half-way leaves no trace for readers. Its last step adds to
-``out_root/_versions`` what the version covers: all leagues, or the ones asked for.
-``read_table`` takes for each league the newest version that covers it, so a league that has gone, or a
-table that a league no longer has rows in, is gone for readers too. Inside a refresh later models
-read only the version being written (the lineage is cut there, as the reference
+own, ``out_root/<table>/version=<id>/bucket=<n>/``. Nothing is overwritten; a refresh that stops half-way
+leaves no trace for readers. Its last step commits what the version covers (``plans.versions``): all
+leagues, or the ones asked for. Readers take for each league the version that covers it, so a
+league that has gone, or a table that a league no longer has rows in, is gone for readers too. Inside a
+refresh later models read only the version being written (the lineage is cut there, as the reference
 materialises every model).
+
+Leagues do not stop each other: a league with a cell that cannot be read (``operators.bad_cells``)
+is held back, keeps what was published of it last, and its cells are listed by ``bad_cells``.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftledger.operators import checks, present
+from draftledger.operators import bad_cells as cells
+from draftledger.operators import checks, history, present
 from draftledger.params import DEFAULT_SEASON, Season
+from draftledger.plans import versions
 from draftledger.plans.models import Models
+from draftledger.session import materialize
 from draftledger.sources import readers, schemas as S
 
 #: So many leagues are asked for by name, which prunes the folders that are read; more by a semi join.
 PRUNED_BY_NAME = 1000
-VERSIONS = "seq long, version string, draft_id string"
+#: Leagues that share a bucket, and most buckets of a version.
+LEAGUES_PER_BUCKET, MOST_BUCKETS = 512, 4096
+#: Versions in use from which on a refresh folds them into one.
+MOST_VERSIONS = 32
 
 
 @dataclass(frozen=True)
 class InputPaths:
-    """Parquet locations of the league inputs; the manual adds and rules may be absent."""
+    """Parquet locations of the league inputs; the manual adds and rules may be absent. ``configs``: the
+    league configurations (config_name, draft_id, year); with them every league plays its own year."""
 
     snapshots: str
     draft: str
     rules: str
     manual_adds: str
+    configs: str | None = None
 
 
-def load_inputs(spark: SparkSession, paths: InputPaths, season: Season = DEFAULT_SEASON) -> dict[str, DataFrame]:
-    return {
-        "snapshots": readers.load_snapshots(spark, season, path=paths.snapshots),
+def load_inputs(spark: SparkSession, paths: InputPaths, season: Season = DEFAULT_SEASON, snapshots: bool = True) -> dict[str, DataFrame]:
+    """All inputs; ``snapshots``: whether the history is read too (not if its state is at hand)."""
+    inputs = {
         "draft_text": readers.optional_source(spark, paths.draft, S.DRAFT_TEXT, required=True),
         "rules_text": readers.optional_source(spark, paths.rules, S.RULES_TEXT),
         "manual_adds_text": readers.optional_source(spark, paths.manual_adds, S.MANUAL_ADDS_TEXT),
     }
+    if snapshots:
+        inputs["snapshots"] = readers.load_snapshots(spark, season, path=paths.snapshots)
+    if paths.configs:
+        inputs["configs"] = readers.optional_source(spark, paths.configs, S.LEAGUE_CONFIGS, required=True)
+    return inputs
 
 
-def only_leagues(inputs: dict[str, DataFrame], leagues: DataFrame | None) -> dict[str, DataFrame]:
-    """Restrict every input to the leagues in ``leagues`` (a one-column DataFrame of
-    ``draft_id``). A few are named in the filter, so only their folders are read; a shared
-    history has no league and stays whole."""
-    if leagues is None:
-        return inputs
+def _cutter(leagues: DataFrame):
     keys = leagues.select("draft_id").distinct()
     named = [r["draft_id"] for r in keys.limit(PRUNED_BY_NAME + 1).collect()]
 
@@ -65,29 +73,71 @@ def only_leagues(inputs: dict[str, DataFrame], leagues: DataFrame | None) -> dic
             return df.filter(F.col("draft_id").isin(named))
         return df.join(keys, "draft_id", "left_semi")
 
+    return cut
+
+
+def only_leagues(inputs: dict[str, DataFrame], leagues: DataFrame | None) -> dict[str, DataFrame]:
+    """Restrict every input to the leagues in ``leagues`` (a one-column DataFrame of
+    ``draft_id``). A few are named in the filter, so only their folders are read; a shared
+    history has no league and stays whole."""
+    if leagues is None:
+        return inputs
+    cut = _cutter(leagues)
     return {name: cut(df) for name, df in inputs.items()}
 
 
 def refresh(spark: SparkSession, inputs: dict[str, DataFrame], out_root: str,
             season: Season = DEFAULT_SEASON, leagues: DataFrame | None = None,
-            league_years: DataFrame | None = None, configs: DataFrame | None = None) -> list[str]:
-    """Compute and write every model; returns the names of the tables. ``league_years``: a season
-    per league; ``configs``: the league configurations, which must not name a league twice."""
+            league_years: DataFrame | None = None, configs: DataFrame | None = None,
+            state: history.History | None = None, stamp: tuple[int, int] | None = None) -> list[str]:
+    """Compute and write every model; returns the names of the tables.
+
+    ``configs`` (or the input of that name): the league configurations, which must not name a league
+    twice and give every league its year; ``league_years``: a year per league. ``state``: the
+    merged state of the history, in place of its snapshots. ``stamp``: when the inputs were read
+    (``versions.start``), if that was before now.
+    """
+    stamp = stamp or versions.start(spark, out_root)
+    inputs = dict(inputs)
+    configs = inputs.pop("configs", None) if configs is None else configs
     if configs is not None:
         checks.require_unique_leagues(configs)
+        if league_years is None:
+            league_years = configs.select("draft_id", "year").distinct()
     inputs = only_leagues(inputs, leagues)
-    m = Models(spark, season, snapshots=inputs["snapshots"], draft_text=inputs["draft_text"],
-               rules_text=inputs["rules_text"], manual_adds_text=inputs["manual_adds_text"],
-               materialize_shared=False, league_years=league_years)
+    if leagues is not None and state is not None:
+        state = history.only(state, _cutter(leagues))
+
+    bad = cells.bad_cells(inputs, league_years)
+    bad = None if bad is None or bad.isEmpty() else materialize(bad, "badcells")
+    held = None
     version = uuid.uuid4().hex
+    if bad is not None:
+        held = bad.select("draft_id").where("draft_id is not null").distinct()
+        if leagues is not None:
+            held = held.join(leagues.select("draft_id").distinct(), "draft_id", "left_semi")
+        inputs = cells.without(inputs, held)
+        bad.write.parquet(f"{out_root}/{versions.BAD_CELLS}/version={version}")
+        if league_years is not None:
+            league_years = league_years.join(held, "draft_id", "left_anti")
+        if state is not None and not state.shared:
+            state = history.only(state, lambda df: df.join(held, "draft_id", "left_anti"))
+
+    m = Models(spark, season, snapshots=inputs.get("snapshots"), draft_text=inputs["draft_text"],
+               rules_text=inputs["rules_text"], manual_adds_text=inputs["manual_adds_text"],
+               materialize_shared=False, league_years=league_years, history_state=state)
+    n_leagues = m.draft_text.agg(F.approx_count_distinct("draft_id")).first()[0]  # only the number of folders follows
+    buckets = max(1, min(MOST_BUCKETS, -(-n_leagues // LEAGUES_PER_BUCKET)))
+    schemas = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        path = present.write_league_table(name, df, out_root, version)
+        path = present.write_league_table(name, df, out_root, version, buckets)
+        schemas[name] = df.schema.json()
         return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     # K1: each shared model is written first and the later models read the written table.
     m.__dict__["scored_table"] = write("base_query_int", m.scored)
-    m.__dict__["pairs"] = write("better_pick_int", m.pairs)
+    write("better_pick_int", m.pairs)
     m.__dict__["best_alternative"] = write("better_pick_final", m.best_alternative)
     m.__dict__["base_query"] = base_query = write("base_query", m.base_query)
     m.__dict__["ranked"] = m.__dict__["released"] = base_query.drop("better_pick_title", "better_pick_scored_revenue")
@@ -102,39 +152,46 @@ def refresh(spark: SparkSession, inputs: dict[str, DataFrame], out_root: str,
         if name not in done:
             write(name, df)
 
-    covers = (spark.createDataFrame([(None,)], "draft_id string") if leagues is None
-              else leagues.select("draft_id").distinct())
-    (covers.select(F.lit(time.time_ns()).alias("seq"), F.lit(version).alias("version"), "draft_id")
-     .coalesce(1).write.mode("append").parquet(f"{out_root}/_versions"))
+    versions.publish(spark, out_root, version, buckets, schemas, stamp, leagues, held)
+    if len(versions.last_commit(spark, out_root).versions) > MOST_VERSIONS:
+        compact(spark, out_root)
     return list(outputs)
 
 
-def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
-    """The table as published: for each league the newest version that covers it."""
-    try:
-        log = spark.read.schema(VERSIONS).parquet(f"{out_root}/_versions")
-    except AnalysisException as err:
-        raise FileNotFoundError(f"nothing has been published under {out_root}") from err
-    full = log.filter("draft_id is null").agg(F.max("seq"), F.max_by("version", "seq")).first()
-    whole, since = full[1], full[0] or 0
-    newer = log.filter(F.col("draft_id").isNotNull() & (F.col("seq") > since)).groupBy("draft_id").agg(
-        F.max_by("version", "seq").alias("_version"))
-    path = f"{out_root}/{name}"
-    table = spark.read.option("basePath", path)
-    # a partition column's type is stated, or league "1" would be read as a number
-    schema = spark.read.option("basePath", path).parquet(path).schema
-    for f in schema.fields:
-        if f.name in ("draft_id", "draftee_name", "version"):
-            f.dataType = S.T.StringType()
-    rows = table.schema(schema).parquet(path)
-    parts = rows.join(newer, "draft_id", "left")
-    kept = parts.filter(F.col("version") == F.coalesce("_version", F.lit(whole)))
-    return kept.drop("version", "_version")
+def compact(spark: SparkSession, out_root: str) -> int | None:
+    """Folds the versions that readers need into one; None if a run published meanwhile (nothing is
+    lost then, and the next refresh tries again)."""
+    def rewrite(version: str, commit: versions.Commit) -> int:
+        buckets = max(commit.versions.values())
+        for name in commit.schemas:
+            present.write_league_table(name, versions.read(spark, out_root, name, commit), out_root, version, buckets)
+        return buckets
+
+    return versions.compact(spark, out_root, rewrite)
+
+
+def read_table(spark: SparkSession, out_root: str, name: str, leagues: list[str] | None = None) -> DataFrame:
+    """The table as published: for each league the version that covers it; ``leagues``: only these."""
+    return versions.read(spark, out_root, name, leagues=leagues)
+
+
+def bad_cells(spark: SparkSession, out_root: str) -> DataFrame:
+    """The cells because of which leagues are held back today."""
+    held = versions.named(spark, versions.last_commit(spark, out_root)).where("held_by is not null").select("draft_id", "held_by")
+    runs = sorted(r["held_by"] for r in held.select("held_by").distinct().collect())  # bounded by compaction
+    path = f"{out_root}/{versions.BAD_CELLS}"
+    if not runs:
+        return spark.createDataFrame([], cells.BAD_CELL)
+    rows = spark.read.option("basePath", path).schema(f"{cells.BAD_CELL}, version string").parquet(*[f"{path}/version={r}" for r in runs])
+    return rows.join(held.withColumnRenamed("held_by", "version"), ["draft_id", "version"]).select("draft_id", "source", "column", "text")
 
 
 def refresh_paths(spark: SparkSession, paths: InputPaths, out_root: str,
-                  season: Season = DEFAULT_SEASON) -> list[str]:
-    return refresh(spark, load_inputs(spark, paths, season), out_root, season)
+                  season: Season = DEFAULT_SEASON, leagues: DataFrame | None = None) -> list[str]:
+    """The refresh from files: a history of leagues or a shared one; with ``paths.configs`` every league
+    in its own year, after the check that none is configured twice."""
+    stamp = versions.start(spark, out_root)
+    return refresh(spark, load_inputs(spark, paths, season), out_root, season, leagues, stamp=stamp)
 
 
 def league_filter(spark: SparkSession, *draft_ids: str) -> DataFrame:

@@ -59,13 +59,17 @@ def snapshot_from_scraped(page: DataFrame, season: Season) -> DataFrame:
     )
 
 
+def is_shared(spark: SparkSession, path: str) -> bool:
+    """Whether the history at ``path`` has no league column."""
+    return "draft_id" not in spark.read.parquet(path).columns
+
+
 def load_snapshots(spark: SparkSession, season: Season, path: str | None = None,
                    page: DataFrame | None = None) -> DataFrame:
     """One loader for all kinds of source: a path to league histories or to a shared one,
     told apart by their columns, or a captured page."""
     if path is not None:
-        shared = "draft_id" not in spark.read.parquet(path).columns
-        return read_shared_snapshots(spark, path) if shared else read_snapshots(spark, path)
+        return read_shared_snapshots(spark, path) if is_shared(spark, path) else read_snapshots(spark, path)
     if page is not None:
         return snapshot_from_scraped(page, season)
     raise ValueError("give a Parquet path or a captured page")

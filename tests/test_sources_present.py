@@ -103,7 +103,7 @@ def test_league_done_and_freshness(spark):
     m = models(spark, snaps, [("L", 1, 1, "Ann", "A")], season=season)
     done = m.league_done.first()
     assert done.done is True and done.released_count == 1
-    fresh = checks.freshness(m.snapshots, m.league_done, season).first()
+    fresh = checks.freshness(m.published, m.league_done, season).first()
     assert "Dashboard is done updating" in fresh.status_text
     assert fresh.status_text.endswith("Data Updated Through\n1998-12-30 00:00:00 UTC")
 
@@ -140,15 +140,25 @@ def test_duplicate_leagues(spark):
     assert [(x.draft_id, x.n_configs, x.first_config, x.second_config) for x in r] == [("X", 3, "a.yml", "b.yml")]
 
 
-def test_refresh_writes_partitioned_by_league(spark, tmp_path):
+def test_tables_are_written_in_buckets_of_leagues(spark, tmp_path):
     m = _league(spark)
-    present.write_league_table("base_query", m.base_query, str(tmp_path), "1")
-    present.write_league_table("draftee_tabs", present.draftee_tabs(m.draftee_dashboard), str(tmp_path), "1")
-    assert (tmp_path / "base_query" / "version=1" / "draft_id=L").exists()
-    assert (tmp_path / "draftee_tabs" / "version=1" / "draft_id=L" / "draftee_name=Ann").exists()
+    present.write_league_table("base_query", m.base_query, str(tmp_path), "1", 4)
+    present.write_league_table("draftee_tabs", present.draftee_tabs(m.draftee_dashboard), str(tmp_path), "1", 4)
+    at = spark.range(1).select(present.bucket_of(F.lit("L"), 4)).first()[0]
+    assert (tmp_path / "base_query" / "version=1" / f"bucket={at}").exists()
+    assert (tmp_path / "draftee_tabs" / "version=1" / f"bucket={at}").exists()
     assert spark.read.parquet(str(tmp_path / "base_query")).filter(F.col("draft_id") == "L").count() == 3
 
 
+def test_many_leagues_make_few_files_and_one_league_opens_one(spark, tmp_path):
+    leagues = spark.range(20_000).select(F.concat(F.lit("L"), "id").alias("draft_id"), F.col("id").alias("n"))
+    path = present.write_league_table("t", leagues, str(tmp_path), "1", 40)
+    rows = spark.read.parquet(path)
+    assert 40 <= len(rows.inputFiles()) <= 80
+    one = rows.where((F.col("draft_id") == "L77") & (F.col("bucket") == present.bucket_of(F.lit("L77"), 40)))
+    assert one.select("n").first()[0] == 77 and one.select(F.input_file_name()).distinct().count() == 1
+
+
 def test_dashboard_tables_headings(spark):
     m = _league(spark)
     tables = present.dashboard_tables(m.scoreboard, m.base_query, m.row_budget, m.worst_picks, m.best_picks)
