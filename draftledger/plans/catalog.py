@@ -6,18 +6,20 @@ from the driver's tables at ``sf_dir`` (see ``sources.testbed``).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftledger.operators import checks, present, standings, titles
+from draftledger.operators import checks, history, present, standings, titles
 from draftledger.params import DEFAULT_SEASON
 from draftledger.plans.models import Models
-from draftledger.plans.refresh import read_table, refresh
+from draftledger.plans.refresh import InputPaths, read_table, refresh
 from draftledger.session import shared_dir
 from draftledger.sources import readers, schemas, testbed
+from draftledger.streaming import refresh_stream
 
 SEASON = DEFAULT_SEASON
 
@@ -96,6 +98,52 @@ def _m1_shared(spark, sf_dir):
     return _m(spark, sf_dir, snapshots=_shared_history(m), league_years=years).scored
 
 
+def _shared_folder(m: Models) -> str:
+    """A folder of our own for a shared history written from the league tables."""
+    return f"{shared_dir(m.spark).rstrip('/')}/shared_history/{uuid.uuid4().hex}"
+
+
+def _s8(spark, sf_dir):
+    """The one loader on both kinds of history: the leagues' folder and a shared history."""
+    m = _m(spark, sf_dir)
+    shared = f"{_shared_folder(m)}/snapshots"
+    _shared_history(m).write.parquet(shared)
+    of_leagues = testbed.materialize(m.spark, sf_dir, SEASON)["snapshots"]
+    kinds = [(k, readers.load_snapshots(m.spark, SEASON, path=p)) for k, p in (("leagues", of_leagues), ("shared", shared))]
+    one, two = [df.withColumn("kind", F.lit(k)) for k, df in kinds]
+    return one.unionByName(two, allowMissingColumns=True)
+
+
+def _s8_stream(spark, sf_dir):
+    """A shared history that arrives in two parts, the later days first, each through the stream: the released
+    table of every league in its own year, as published after the second trigger."""
+    m = _m(spark, sf_dir)
+    root = _shared_folder(m)
+    inputs = testbed.materialize(m.spark, sf_dir, SEASON)
+    years = testbed.league_years(m.spark, sf_dir, SEASON)
+    years.select(F.concat("draft_id", F.lit(".yml")).alias("config_name"), "draft_id", F.col("year").cast("int").alias("year")).write.parquet(f"{root}/configs")
+    paths = InputPaths(f"{root}/snapshots", inputs["draft_text"], inputs["rules_text"], inputs["manual_adds_text"], f"{root}/configs")
+    late = F.col("loaded_date") >= F.make_date(F.lit(SEASON.year), F.lit(7), F.lit(1))
+    for part in (late, ~late):
+        _shared_history(m).where(part).write.mode("append").parquet(paths.snapshots)
+        refresh_stream.start(m.spark, paths, f"{root}/out", f"{root}/checkpoint", SEASON).awaitTermination()
+    return read_table(m.spark, f"{root}/out", "base_query")
+
+
+def _merged(m: Models) -> history.History:
+    """The state of the history put together from three parts of its days."""
+    part = F.pmod(F.datediff("loaded_date", F.lit(dt.date(1970, 1, 1))), F.lit(3))
+    states = [history.summarize(m.snapshots.where(part == i)) for i in range(3)]
+    return history.merge(history.merge(states[2], states[0]), states[1])
+
+
+def _on_state(build: Callable[[Models], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        m = _m(spark, sf_dir)
+        return build(_m(spark, sf_dir, history_state=_merged(m)))
+    return run
+
+
 def _p5(spark, sf_dir):
     return _m(spark, sf_dir).scored.select("draft_id", "title", "drafted_by", "overall_pick", "round",
                                            "revenue", "multiplier", "scored_revenue")
@@ -127,6 +175,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s6_optional_source": _s6,
     "s7_read_model": _s7,
     "s1_shared_history": _on(_shared_history),
+    "s8_load_snapshots": _s8,
+    "s8_shared_stream": _s8_stream,
     # sinks
     "k1_refresh": _k1,
     "k2_released_movies": _on(lambda m: present.released_movies(m.base_query)),
@@ -159,6 +209,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # windows
     "w1_first_seen": _on(lambda m: titles.first_seen(m.snapshots, m.exclusions)),
     "w2_latest_snapshot": _on(lambda m: m.latest.drop("_act")),
+    "w2_merged_state": _on_state(lambda m: m.latest.drop("_act")),
+    "a7_merged_state": _on_state(lambda m: m.floor),
     "w3_still_in_theaters": _on(lambda m: m.activity),
     "w3_still_in_theaters_intended": _on(lambda m: titles.activity(m.snapshots, SEASON, intended=True)),
     "w4_base_query": _on(lambda m: m.base_query),

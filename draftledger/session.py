@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from draftledger import files
+
 # Settings every job relies on: UTC dates, ANSI arithmetic (Spark 4 default), AQE for
 # runtime re-planning (broadcast only when a side measures under the threshold, skew
 # splitting, partition coalescing).
@@ -81,12 +83,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def path_complete(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a finished Spark write (its ``_SUCCESS`` marker exists)."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
+    return any(e.name == "_SUCCESS" for e in files.entries(spark, path))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

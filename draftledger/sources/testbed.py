@@ -207,7 +207,8 @@ def _write(spark: SparkSession, root: str, sf_dir: str, season: Season) -> dict[
         if not path_complete(spark, path):
             df = build(spark, sf_dir, season)
             if name == "snapshots":  # a folder per league, so a refresh of some leagues reads only theirs
-                df.hint("rebalance", "draft_id").write.mode("overwrite").partitionBy("draft_id").parquet(path)
+                (df.hint("rebalance", "draft_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+                 .partitionBy("draft_id").parquet(path))  # a dynamic overwrite would leave no _SUCCESS marker
             else:
                 df.write.mode("overwrite").parquet(path)
         paths[name] = path
