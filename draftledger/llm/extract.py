@@ -4,7 +4,8 @@ A page is cut into blocks: the text between block-level tags, with the open elem
 block's vector holds its tag path and its words, both hashed, and a few measures (length, share of
 link text, punctuation, place). A bidirectional LSTM in numpy reads the page's blocks in
 order and gives each the probability of being main text, so a block is judged with the whole page
-in view. Blocks in elements that never hold an article (``NEVER``) are dropped whatever the score.
+in view. Blocks in elements that never hold an article (``NEVER``) are dropped whatever the score, unless such
+an element is wrapped around most of the page.
 
 Training: a bounded sample of the pages themselves. In a sampled page the blocks inside its
 article element are main text. Each is also rewritten: the article gets another container, and
@@ -36,6 +37,8 @@ from draftledger.llm.common import load, pack
 MAX_PAGES, MAX_BYTES = 600, 64 * 1024
 PATH_SLOTS, WORD_SLOTS, MEASURES = 64, 32, 8
 HIDDEN, EPOCHS, BATCH, RATE = 24, 6, 32, 0.01
+#: Gradient steps at least, whatever the size of the sample: a few pages are gone through more often.
+MIN_STEPS = 200
 SIZE = PATH_SLOTS + WORD_SLOTS + MEASURES
 
 #: Elements whose text is no part of the page.
@@ -51,6 +54,8 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
              "strike strong sub sup time tt u var wbr img".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = set("nav footer aside form button select option label dialog menu".split())
+#: Of these the ones that may be wrapped around a whole page; one that holds over half of the text is left to the labeller.
+_WRAPPERS = set("form label dialog menu".split())
 _SCOPE = set("article aside body div footer form header main nav section table td th blockquote ul ol".split())
 
 
@@ -120,6 +125,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     return out
 
 
+def outside(found: list[tuple[tuple[str, ...], str, float]]) -> list[bool]:
+    """For each block whether it stands in an element that never holds an article."""
+    total = sum(len(t) for _, t, _ in found)
+    around = {w for w in _WRAPPERS if 2 * sum(len(t) for path, t, _ in found if w in path) > total}
+    return [bool((NEVER - around).intersection(path)) for path, _, _ in found]
+
+
 class _Slots(dict):
     """Hash slots of names, computed once for each of the names seen lately."""
 
@@ -242,6 +254,7 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(examples: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed: int = 1) -> dict[str, np.ndarray]:
     net, r = Labeller(seed=seed), random.Random(seed)
     examples = [e for e in examples if len(e[0])]
+    epochs = max(epochs, -(-MIN_STEPS // max(1, -(-len(examples) // BATCH))))
     one = {k: np.zeros_like(v) for k, v in net.w.items()}
     two = {k: np.zeros_like(v) for k, v in net.w.items()}
     step = 0
@@ -327,14 +340,13 @@ def rewritten(page: str, others: list[str], r: random.Random) -> str | None:
 def examples(pages: list[str], seed: int = 1) -> list[tuple[np.ndarray, np.ndarray]]:
     r, out = random.Random(seed), []
     texts = [t for page in pages for _, t, _ in blocks(page) if len(t) > 40] or ["text"]
-    texts = texts[:20_000]
     for page in pages:
         page = page.replace(_MARK, " ")
         m = _ARTICLE.search(page)
         if not m:
             continue
         plain = blocks(page)
-        inside = np.array([float("article" in path and not NEVER & set(path)) for path, _, _ in plain])
+        inside = np.array([float("article" in path and not out_) for (path, _, _), out_ in zip(plain, outside(plain))])
         out.append((vectors(plain), inside))
         new = blocks(rewritten(page, texts, r))
         y = np.array([float(_MARK in t) for _, t, _ in new])
@@ -356,7 +368,7 @@ def train(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html")
 def article(found: list, scores: np.ndarray | None) -> str:
     if scores is None:
         scores = np.array([float(len(t) >= 60 and linked < 0.3) for _, t, linked in found])
-    return "\n\n".join(t for (path, t, _), s in zip(found, scores) if s >= 0.5 and not NEVER.intersection(path))
+    return "\n\n".join(t for (_, t, _), s, out in zip(found, scores, outside(found)) if s >= 0.5 and not out)
 
 
 def _extractor(weights):
