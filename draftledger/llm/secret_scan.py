@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from draftledger.llm.common import load, materialize, pack, unpack
-from draftledger.llm.spans import as_text, listed, matches, overlaps, ranked, redacted, with_fields
+from draftledger.llm.spans import as_text, bound, listed, matches, overlaps, ranked, redacted, with_fields, with_reach
 
 _SECRET = r"[A-Za-z0-9+/_.=-]"
 ASSIGN = rf"(?i:(password|passwd|secret|token|api_?key))[\"']?+\x20*+[:=]\x20*+[\"']?+({_SECRET}++)"
@@ -141,8 +141,9 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     df = pack(docs, text=F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     df = matches(base_spans(df, "text"), "token", "text", TOKEN)
     base = listed(ranked(F.col("assign"), "assign", 0), ranked(F.col("access"), "access", 1), ranked(F.col("hex"), "hex", 2))
-    df = df.withColumn("base", base)
-    mixed = F.filter("token", lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]") & ~overlaps(s, F.col("base")))
+    df = with_reach(df.withColumn("base", base), "_reach", "base")
+    mixed = bound(F.col("_reach"), lambda reach: F.filter(
+        "token", lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]") & ~overlaps(s, reach)))
     return df.select("row", "text", "assign", "access", "hex", "base",
                      F.when(F.size("token") > 0, tested(mixed)).otherwise(
                          F.array().cast("array<struct<start:int,end:int,class:int,bin:int>>")).alias("tokens"))
@@ -150,7 +151,8 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 def limits(scanned: DataFrame, rate: float = RATE) -> dict[int, int]:
     """For each length class the smallest p-value bin whose tokens are not random."""
-    counts = (scanned.select(F.explode("tokens").alias("t")).groupBy("t.class", "t.bin")
+    # not explode: the filter that Spark infers for it would be pushed through all the steps of a scan
+    counts = (scanned.select(F.explode_outer("tokens").alias("t")).where("t is not null").groupBy("t.class", "t.bin")
               .agg(F.count(F.lit(1)).alias("n")).collect())  # at most CLASSES * BINS rows
     out = {}
     for c in range(CLASSES):
@@ -176,11 +178,11 @@ def found(scanned: DataFrame, rejected: dict[int, int]) -> DataFrame:
 
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The documents with every secret replaced by its kind in brackets."""
-    scanned = scan(docs, text_col=text_col)
-    clean = found(scanned, limits(scanned)).withColumn("row", F.col("row").withField(f"`{text_col}`", F.when(
-        F.size("spans") > 0, redacted(F.col("text"), F.col("spans"), lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
-    ).otherwise(F.col("row")[text_col])))
-    return unpack(clean)
+    scanned = materialize(scan(docs, text_col=text_col).select("row", "base", "tokens"), "secretscan")
+    out = found(scanned, limits(scanned)).withColumn("text", F.coalesce(F.col("row")[text_col], F.lit("")))
+    out = redacted(out, "_clean", "text", "spans", lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
+    clean = F.when(F.size("spans") > 0, F.col("_clean")).otherwise(F.col("row")[text_col])
+    return unpack(out.withColumn("row", F.col("row").withField(f"`{text_col}`", clean)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
