@@ -84,7 +84,7 @@ def freshness(published: DataFrame, done: DataFrame, season: Season) -> DataFram
     text shown with it. One history for all leagues has one newest time."""
     newest = published
     if "draft_id" not in published.columns:
-        newest = done.select("draft_id", F.lit(1).alias("_all")).join(published.withColumn("_all", F.lit(1)), "_all").drop("_all")
+        newest = done.select("draft_id", published.agg(F.max("data_through")).scalar().alias("data_through"))
     run = F.date_format(F.lit(season.run_time).cast("timestamp"), TIMESTAMP_TEXT)
     text = F.concat(
         F.lit(LAST_UPDATED + "\n"), run, F.lit(" UTC"),

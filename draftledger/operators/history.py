@@ -48,14 +48,14 @@ def _league(df: DataFrame) -> list[str]:
 
 
 def title_state(snap: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Per title its first day (W1) and its newest snapshots of each release year."""
+    """Per title its first day (W1) and its newest snapshots of each release year. Both come together in one
+    aggregate over a few rows for each title, not in a join; over a history bucketed by title
+    (``sources.bucketed``) nothing is shuffled."""
     keys = [*_league(snap), "title"]
     seen = snap.groupBy(*keys).agg(F.min("loaded_date").alias("first_seen_date"))
-    newest = titles.newest_per_year(snap, keys, depth)
-    on = newest[keys[0]].eqNullSafe(seen[keys[0]])
-    for k in keys[1:]:
-        on = on & newest[k].eqNullSafe(seen[k])
-    return newest.join(seen, on).select(*[newest[k] for k in keys], "first_seen_date", "_newest")
+    newest = titles.newest_rows(snap, keys, depth)
+    return seen.unionByName(newest, allowMissingColumns=True).groupBy(*keys).agg(
+        F.min("first_seen_date").alias("first_seen_date"), F.sort_array(F.collect_list("_snapshot"), asc=False).alias("_newest"))
 
 
 def floor_state(snap: DataFrame) -> DataFrame:

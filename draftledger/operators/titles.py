@@ -22,18 +22,23 @@ MONEY = ["revenue", "domestic_rev", "foreign_rev"]
 YEAR_PARTS = 16
 
 
-def newest_per_year(snap: DataFrame, keys: list[str], depth: int) -> DataFrame:
-    """Per title its newest ``depth`` snapshots of every release year, newest first, as one array.
+def newest_rows(snap: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    """Per title its newest ``depth`` snapshots of every release year, one struct ``_snapshot`` each.
 
     The row_number filter is planned with a map-side group limit, so a title with a long
-    history is cut down to a few rows before any shuffle; W2, W3 and J14 all read this array.
+    history is cut down to a few rows before any shuffle; W2, W3 and J14 all read them.
     Ties on the day go to the larger amounts.
     """
     rows = snap.select(*keys, "release_year", "loaded_date", *MONEY)
     order = [desc("loaded_date"), *[desc(c) for c in MONEY]]
     top = top_n_per_key(rows, [*keys, "release_year"], order, depth, "_pos")
-    newest = F.sort_array(F.collect_list(F.struct("loaded_date", *MONEY, "release_year")), asc=False)
-    return top.groupBy(*keys).agg(newest.alias("_newest"))
+    return top.select(*keys, F.struct("loaded_date", *MONEY, "release_year").alias("_snapshot"))
+
+
+def newest_per_year(snap: DataFrame, keys: list[str], depth: int) -> DataFrame:
+    """The newest snapshots of every title as one array, newest first."""
+    return newest_rows(snap, keys, depth).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_snapshot"), asc=False).alias("_newest"))
 
 
 def _activity_columns(season: Season, intended: bool) -> dict:
