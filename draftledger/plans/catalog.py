@@ -14,12 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftledger.operators import checks, history, present, standings, titles
+from draftledger.functions.joins import not_in
+from draftledger.operators import checks, clean, history, present, standings, titles
 from draftledger.params import DEFAULT_SEASON
 from draftledger.plans.models import Models
 from draftledger.plans.refresh import InputPaths, read_table, refresh
-from draftledger.session import shared_dir
-from draftledger.sources import bucketed, readers, schemas, testbed
+from draftledger.session import path_complete, shared_dir
+from draftledger.sources import bucketed, by_year, readers, schemas, testbed
 from draftledger.streaming import refresh_stream
 
 SEASON = DEFAULT_SEASON
@@ -160,6 +161,45 @@ def _m1_bucketed(spark, sf_dir):
     return _m(spark, sf_dir, snapshots=_bucketed(m, sf_dir)).scored
 
 
+def _by_year(m: Models, sf_dir: str) -> str:
+    """The leagues' history by release year with its index, written once beside the league tables in two batches,
+    the later days first."""
+    root = f"{testbed.testbed_root(m.spark, sf_dir, SEASON)}/snapshots_by_year"
+    if not path_complete(m.spark, f"{root}/done"):
+        late = F.col("loaded_date") >= F.make_date(F.lit(SEASON.year - 2), F.lit(1), F.lit(1))
+        root_ = f"{root}-{uuid.uuid4().hex}"  # a build that was broken off is left alone
+        for part in (late, ~late):
+            by_year.add(m.raw_snapshots.where(part), root_)
+        m.spark.createDataFrame([(root_,)], "root string").coalesce(1).write.mode("overwrite").parquet(f"{root}/done")
+    return m.spark.read.parquet(f"{root}/done").first()[0]
+
+
+def _w1_index(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return not_in(by_year.first_seen(m.spark, _by_year(m, sf_dir)), "title", m.exclusions, "movie")
+
+
+def _w2_split(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    root = _by_year(m, sf_dir)
+    snap = clean.clean_snapshots(by_year.days(m.spark, root))
+    return titles.latest_snapshot(by_year.season_latest(snap, by_year.first_seen(m.spark, root), SEASON), m.exclusions)
+
+
+def _j14_split(spark, sf_dir):
+    """State and floor from the season's folder alone; the released titles are M1's."""
+    m = _m(spark, sf_dir)
+    root = _by_year(m, sf_dir)
+    snap = clean.clean_snapshots(by_year.days(m.spark, root))
+    state = by_year.season_latest(snap, by_year.first_seen(m.spark, root), SEASON)
+    return checks.under_floor_titles(state, checks.newest_snapshot_floor(snap, SEASON), m.released)
+
+
+def _a7_split(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return checks.newest_snapshot_floor(clean.clean_snapshots(by_year.days(m.spark, _by_year(m, sf_dir))), SEASON)
+
+
 def _p5(spark, sf_dir):
     return _m(spark, sf_dir).scored.select("draft_id", "title", "drafted_by", "overall_pick", "round",
                                            "revenue", "multiplier", "scored_revenue")
@@ -225,6 +265,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # windows
     "w1_first_seen": _on(lambda m: titles.first_seen(m.snapshots, m.exclusions)),
     "w2_latest_snapshot": _on(lambda m: m.latest.drop("_act")),
+    "w1_first_seen_index": _w1_index,
+    "w2_split_scan": _w2_split,
+    "a7_split_scan": _a7_split,
+    "j14_split_scan": _j14_split,
     "w2_merged_state": _on_state(lambda m: m.latest.drop("_act")),
     "a7_merged_state": _on_state(lambda m: m.floor),
     "w3_still_in_theaters": _on(lambda m: m.activity),

@@ -1,6 +1,8 @@
 """No registered query funnels through one task: no nested-loop or cartesian joins and no
 exchange into a single partition, in its own plan or in that of any table written on the way."""
 
+import re
+
 import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
@@ -80,3 +82,15 @@ def test_a_bucketed_history_is_not_shuffled(plans):
     union = max(i for i, line in enumerate(lines) if line.strip(" :+-").startswith("Union") and i < scans[0])
     assert len(scans) == 2 and not any("Exchange" in line for line in lines[union:scans[-1] + 1])
     assert any("WindowGroupLimit" in line for line in lines[union:scans[-1]])
+
+
+@pytest.mark.parametrize("key,scans", [("w2_split_scan", 1), ("a7_split_scan", 1), ("j14_split_scan", 2)])
+def test_a_split_history_reads_the_season_s_folder(plans, key, scans):
+    """Days are read from one year's folder; first days come from the index, not from the days."""
+    history = [line for line in plans[key][-1][1].splitlines() if "FileScan" in line and "release_year#" in line]
+    season = [line for line in history if re.search(rf"PartitionFilters: \[[^\]]*release_year#\d+ = {DEFAULT_SEASON.year}", line)]
+    assert len(season) >= scans  # and in the filters that Spark makes of joins
+    if key != "j14_split_scan":  # its released titles come from M1 over the whole history
+        assert history == season
+    index = plans["w1_first_seen_index"][-1][1]
+    assert "partial_min(first_seen_date" in index and "loaded_date" not in index
