@@ -31,6 +31,7 @@ empty result; only the id and the text are read, so other columns cannot clash.
 """
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -360,7 +361,10 @@ def _intervals(frame: pd.DataFrame) -> pd.DataFrame:
             if ids.get(s, _LAST) >= i:
                 ids[s] = i
         parts.append((own, most))
-    order = sorted(ids, key=key.__getitem__)
+    # equal windows have equal keys: a string that is alone under its key shares no window with another one,
+    # so each of its windows has its own smallest id; the others are merged
+    under = Counter(key.values())
+    order = sorted((s for s in ids if under[key[s]] > 1), key=key.__getitem__)
     place: dict[bytes, tuple[int, int, int]] = {}  # group, and its windows' bounds there
     groups, lowest = [], {}
     at = 0
@@ -379,7 +383,10 @@ def _intervals(frame: pd.DataFrame) -> pd.DataFrame:
     for own, most in parts:
         rows: list[tuple[int, int, int, int]] = []
         for n, (s, high) in enumerate(zip(own, most.tolist())):
-            if lowest[s] < high:
+            if s not in lowest:
+                if ids[s] < high:
+                    rows.append((n, 0, len(s) - LENGTH + 1, ids[s]))
+            elif lowest[s] < high:
                 g, x, y = place[s]
                 low = groups[g][x:y]
                 cuts = [0, *(np.flatnonzero(low[1:] != low[:-1]) + 1).tolist(), len(low)]
