@@ -6,8 +6,8 @@ usual separators) and ``ip6``. A gradient-boosted classifier reads format and co
 of a candidate. It learns from the table itself: candidates that a strict base pattern confirms
 or that have a valid form are positive (spelt-out addresses, IPv6 addresses, telephone numbers after a
 word that announces one), all others negative. ``examples`` of those forms and of what resembles
-them are learned from too, so that forms that the table has rarely are known. It is fitted on half of a
-bounded sample of candidates; on the other half the lowest score is found, for each generator,
+them are learned from too, so that forms that the table has rarely are known. It is fitted on one half of all
+candidates, dealt by hash; over all of the other half the lowest score is found, for each generator,
 above which at least ``PRECISION`` of the candidates are positive. Candidates above their threshold are added unless they overlap a
 base span. The fitted trees are applied as nested conditions inside the row, so no candidate is
 shuffled and there is no join back.
@@ -18,6 +18,7 @@ clash with the working columns; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -47,8 +48,8 @@ _CONTEXT = r"(?i)\b(call|phone|tel|fax|mobile|cell|e-?mail|contact|reach|write|c
 _ANNOUNCED = r"(?i)\b(call|phone|telephone|tel|fax|mobile|cell)\b[^0-9A-Za-z]{0,4}$"
 _SPELT = r"\(at\)|\[at\]"
 
-#: Bound of the sample of candidates that the classifier and the thresholds are fitted on.
-SAMPLE = 20_000
+#: Different feature rows that one task of the fit holds, and the least number of candidates to learn from.
+KINDS_PER_TASK = 100_000
 LEAST = 100
 PRECISION = 0.95
 TREES, DEPTH = 10, 3
@@ -169,28 +170,31 @@ def _tree(lines: list[str], features: Column) -> Column:
 
 
 def fit(scanned: DataFrame) -> dict | None:
-    """The fitted trees (printed) with weights, and thresholds by generator; None if there is too
-    little to learn from. ``scanned`` is a written table: candidates are filtered here, and a filter
+    """The fitted trees (printed) with weights, thresholds by generator and the numbers of candidates that either
+    comes from (together all of them, and those of ``examples``); None if there is too little to learn from. ``scanned`` is a written table: candidates are filtered here, and a filter
     would be pushed through all the steps of a scan that is still to be planned."""
     mixed = F.xxhash64("c.start", "c.end", "c.features")
-    proposed = scanned.select(F.explode_outer("candidates").alias("c")).where("c is not null").select("c.*", mixed.alias("mixed"))
-    # the least hashes are the sample; those under a cut are enough to find them, so that no task gets a whole
-    # sample from every other
-    kinds = proposed.agg(F.approx_count_distinct("mixed")).first()[0]
-    cut = -2 ** 63 - 1 + int(2 ** 64 * min(1.0, 2 * SAMPLE / max(1, kinds)))
-    sample = materialize(proposed.where(F.col("mixed") <= F.lit(cut)).orderBy("mixed", "start", "end").limit(SAMPLE), "piisample")
+    proposed = scanned.select(F.explode_outer("candidates").alias("c")).where("c is not null")
     made = materialize(scan(scanned.sparkSession.createDataFrame([(t,) for t in examples()], "text string")).select("candidates"), "piiexamples")
-    sample = sample.unionByName(made.select(F.explode("candidates").alias("c")).select("c.*", mixed.alias("mixed")))
-    half = F.col("mixed") % 2 == 0
-    counts = sample.where(half).groupBy("positive").count().collect()  # two rows
-    if len(counts) < 2 or sum(r["count"] for r in counts) < LEAST:
+    every = proposed.unionByName(made.select(F.explode("candidates").alias("c")))
+    # candidates with equal features get equal scores: one weighted row stands for all of them, counted map-side first
+    learned = materialize(every.select("c.positive", "c.features", (mixed % 2 == 0).alias("half")).groupBy(
+        "features", "positive", "half").agg(F.count(F.lit(1)).alias("n")), "piifeatures")
+    half = F.col("half")
+    counts = learned.where(half).groupBy("positive").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()  # two rows
+    if len(counts) < 2 or sum(r["n"] for r in counts) < LEAST:
         return None
-    train = sample.where(half).select(array_to_vector("features").alias("features"), F.col("positive").cast("double").alias("label"))
-    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, cacheNodeIds=False).fit(train.coalesce(1))
+    kinds = sum(r["kinds"] for r in counts)
+    parts = -(-kinds // KINDS_PER_TASK)
+    # Spark ML looks for places to split in max(10,000, bins ** 2) rows: so many bins that these are all rows
+    bins = 32 if kinds <= 10_000 else math.isqrt(kinds) + 1
+    train = learned.where(half).repartition(parts, "features").sortWithinPartitions("features", "positive").select(
+        array_to_vector("features").alias("features"), F.col("positive").cast("double").alias("label"), F.col("n").cast("double").alias("weight"))
+    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, cacheNodeIds=False, maxBins=bins, weightCol="weight").fit(train)
     trees = [(w, t.toDebugString.strip().split("\n")[1:]) for w, t in zip(gbt.treeWeights, gbt.trees)]
     step = F.floor(_score(trees, F.col("features")) * 100).cast("int")
-    rows = sample.where(~half).groupBy("generator", step.alias("step")).agg(
-        F.sum("positive").alias("yes"), F.count(F.lit(1)).alias("n")).collect()  # at most 101 for each generator
+    rows = learned.where(~half).groupBy(F.col("features")[0].cast("int").alias("generator"), step.alias("step")).agg(
+        F.sum(F.col("positive") * F.col("n")).alias("yes"), F.sum("n").alias("n")).collect()  # at most 101 for each generator
     thresholds = {}
     for g in range(len(GENERATORS)):
         yes = n = 0
@@ -198,7 +202,7 @@ def fit(scanned: DataFrame) -> dict | None:
             yes, n = yes + r["yes"], n + r["n"]
             if yes >= PRECISION * n:
                 thresholds[g] = r["step"] / 100
-    return {"trees": trees, "thresholds": thresholds}
+    return {"trees": trees, "thresholds": thresholds, "fitted": sum(r["n"] for r in counts), "held_out": sum(r["n"] for r in rows)}
 
 
 def _score(trees: list, features: Column) -> Column:
