@@ -94,6 +94,16 @@ def test_alternatives_equal_the_pair_table(spark, monkeypatch, seed, odd, bits):
     assert m._alternatives.beaten().count() == want.count()
 
 
+def test_the_far_alternatives_of_m3_a3_and_o3_are_found_once(spark, monkeypatch):
+    monkeypatch.setattr(dominance, "NEAR_BITS", 2)
+    calls, original = [], alternatives.best_above
+    monkeypatch.setattr(alternatives, "best_above", lambda *a: calls.append(1) or original(*a))
+    m = _league(spark, 1, False)
+    for df in (m.best_alternative, m.better_pick_stats, m.row_budget):
+        assert df.count()
+    assert len(calls) == 1
+
+
 def test_least_revenue(spark):
     r = random.Random(5)
     cases = [(f, s) for f in (1.0, 0.1, 1 / 3, 2.5, 1e-9, 1e9) for s in (0.0, 1.0, -7.0, 123456789.0, r.random() * 1e9, float(r.randrange(10 ** 9)))]
