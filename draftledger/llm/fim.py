@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from draftledger.llm.common import load, pack, unpack
 
 BLOCK = 4096
+#: Outputs that a Python worker holds at once.
+ROWS = 256
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Of a hundred draws: documents that are rearranged, and of those the ones whose suffix comes first.
 REARRANGED, SUFFIX_FIRST = 90, 20
@@ -123,9 +125,10 @@ def _made(seed: str):
     @F.pandas_udf(MADE)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for keys, texts in batches:
-            yield pd.DataFrame([rearrange(t, k, seed) for k, t in zip(keys, texts)],
-                               columns=["n", "form", "prefix_chars", "middle_chars", "output"]).astype(
-                {"n": "int64", "prefix_chars": "Int64", "middle_chars": "Int64"})
+            for at in range(0, len(keys), ROWS):  # the outputs of a whole batch never stand beside its texts
+                yield pd.DataFrame([rearrange(t, k, seed) for k, t in zip(keys[at:at + ROWS], texts[at:at + ROWS])],
+                                   columns=["n", "form", "prefix_chars", "middle_chars", "output"]).astype(
+                    {"n": "int64", "prefix_chars": "Int64", "middle_chars": "Int64"})
 
     return run.asNondeterministic()
 
