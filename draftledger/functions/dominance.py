@@ -16,34 +16,45 @@ larger than the query's. In a node the x is settled, and what is left is one ord
   owner are counted in a node of their own and taken off.
 
 A row has a copy per level, i.e. the logarithm of the number range; nothing is quadratic. The lowest levels are
-left out: numbers that differ only there share a block of ``1 << NEAR_BITS`` numbers, whose rows ``near`` joins directly. A node may be as
+left out: numbers that differ only there share a block of ``1 << NEAR_BITS`` numbers, whose rows meet in one task (``in_blocks``), as
+columns of numbers compared many at a time. A node may be as
 large as a group, so running values are made in two parts (``Layout``): one range shuffle, running values
 inside each partition, and what the node's earlier partitions bring along.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from draftledger.functions.windows import row_number_within
 from draftledger.session import materialize
 
+# ``in_blocks`` runs on executors, which need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Level of the node for items without an x: they lie above every x.
 OPEN = -1
 #: Bits of x inside a block, and the rows that a block may have (more only if many share a number; then
 #: there are levels down to the last bit and no block is joined).
-NEAR_BITS, NEAR_ROWS = 10, 4096
+NEAR_BITS, NEAR_ROWS = 16, 3 << 16
 BLOCKS_PER_TASK = 4
+#: Rows for which a task is worth its while, and the comparisons that are held at a time.
+TASK_ROWS, AT_ONCE = 8192, 1 << 23
 
 
 @dataclass(frozen=True)
 class Range:
     """Over all groups: the least x, the bits of the range of x, whether an item has none, the bits of the
-    number of rows of the largest group, the bits that are left to ``near``, and the number of blocks."""
+    number of rows of the largest group, the bits that are left to the blocks, the number of blocks, and of rows."""
 
     least: int
     bits: int
@@ -51,6 +62,7 @@ class Range:
     tall: int
     near: int = 0
     blocks: int = 0
+    rows: int = 0
 
     @property
     def far(self) -> bool:
@@ -68,9 +80,9 @@ def x_range(queries: DataFrame, items: DataFrame, group: str) -> Range:
         F.min("x").alias("a"), F.max("x").alias("b"), F.max("o").alias("o"), F.count(F.lit(1)).alias("n"), F.count("x").alias("m"))
     by = by_block.groupBy(group).agg(F.min("a").alias("a"), F.max("b").alias("b"), F.max("o").alias("o"), F.sum("n").alias("n"),
                                      F.max("m").alias("m"), F.count("a").alias("k"))
-    a, b, o, n, m, k = by.agg(F.min("a"), F.max("b"), F.max("o"), F.max("n"), F.max("m"), F.sum("k")).first()
+    a, b, o, n, m, k, rows = by.agg(F.min("a"), F.max("b"), F.max("o"), F.max("n"), F.max("m"), F.sum("k"), F.sum("n")).first()
     near = NEAR_BITS if (m or 0) <= NEAR_ROWS else 0
-    return Range(a or 0, max(1, ((b or 0) - (a or 0)).bit_length()), bool(o), max(1, (n or 0).bit_length()), near, 2 * (k or 0))
+    return Range(a or 0, max(1, ((b or 0) - (a or 0)).bit_length()), bool(o), max(1, (n or 0).bit_length()), near, 2 * (k or 0), rows or 0)
 
 
 class Layout:
@@ -122,7 +134,7 @@ def _with_x(df: DataFrame, of: Range, width: int, item: bool) -> DataFrame:
 
 def near(queries: DataFrame, items: DataFrame, group: str, of: Range, also: Column | None = None, how: str = "inner") -> DataFrame:
     """Pairs of a query and an item of another owner that dominates it, of one block; the item's columns
-    are ``i_``. ``also``: a further condition; ``how``: "left_semi" for the queries that have any. A block has at most ``NEAR_ROWS`` rows, so the pairs are linear in the rows."""
+    are ``i_``, pair by pair (``in_blocks`` without its arithmetic; for small blocks). ``also``: a further condition; ``how``: "left_semi" for the queries that have any. A block has at most ``NEAR_ROWS`` rows, so the pairs are linear in the rows."""
     block = F.shiftright(F.col("x").cast("bigint") - F.lit(of.least), of.near).alias("_block")
     parts = max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of.blocks // BLOCKS_PER_TASK))
     # few rows make many pairs: the tasks are counted by blocks, not by the size of the input
@@ -134,6 +146,88 @@ def near(queries: DataFrame, items: DataFrame, group: str, of: Range, also: Colu
     return q.join(i, above if also is None else above & also, how).drop("_block", "_i_block", f"i_{group}")
 
 
+def _places(of_queries: np.ndarray, of_items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in one order, as small numbers; NaN is above all, as in Spark."""
+    order = np.unique(np.concatenate([of_queries, of_items]), return_inverse=True)[1].astype(np.int32)
+    return order[:len(of_queries)], order[len(of_queries):]
+
+
+def _best_in_block(q: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """``q``, ``i``: x, y and owner in rows, the items best first. Per query the number of the first item that
+    dominates it, -1 if none does. A query that has found its item meets no more of them."""
+    best, left, at, step = np.full(q.shape[1], -1), np.arange(q.shape[1]), 0, 16
+    while at < i.shape[1] and len(left):
+        some = i[:, at:at + step]
+        for rows in np.array_split(left, max(1, len(left) * some.shape[1] // AT_ONCE)):
+            a = q[:, rows, None]
+            hit = (some[0] > a[0]) & (some[1] > a[1]) & (some[2] != a[2])
+            first = hit.argmax(axis=1)
+            best[rows] = np.where(hit[np.arange(len(rows)), first], at + first, -1)
+        left, at, step = left[best[left] < 0], at + step, 2 * step
+    return best
+
+
+def _count_in_block(q: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """``q``, ``i``: x, y, owner and z in rows. Per query the number of items that dominate it with a z of at least its own."""
+    n, q_order, i_order = np.zeros(q.shape[1], np.int64), np.argsort(q[0]), np.argsort(i[0])
+    if not q.shape[1]:
+        return n
+    i = np.ascontiguousarray(i[:, i_order])
+    for rows in np.array_split(q_order, max(1, q.shape[1] * i.shape[1] // AT_ONCE)):
+        a = q[:, rows, None]
+        # in order of x: items up to the first query are below all of these, those beyond the last above all
+        low, high = np.searchsorted(i[0], [a[0].min(), a[0].max()], "right")
+        for part, with_x in ((i[:, low:high], True), (i[:, high:], False)):
+            hit = part[1] > a[1]
+            hit &= part[3] >= a[3]
+            hit &= part[2] != a[2]
+            if with_x:
+                hit &= part[0] > a[0]
+            n[rows] += np.count_nonzero(hit, axis=1)
+    return n
+
+
+def in_blocks(queries: DataFrame, items: DataFrame, group: str, of: Range, count: bool = False) -> DataFrame:
+    """What ``best_above`` (and with ``count`` ``count_above``) give, for the items of the query's own block: one row
+    (group, qid, value[, n]) for every query that an item of the block dominates. A block has at most two times ``NEAR_ROWS`` rows;
+    a task takes one at a time."""
+    block = F.shiftright(F.col("x").cast("bigint") - F.lit(of.least), of.near).alias("_block")
+    z = [F.col("z").cast("bigint").alias("z")] if count else []
+
+    def rows(df: DataFrame, *more: Column) -> DataFrame:
+        return df.where("x is not null and y is not null and owner is not null").select(
+            group, block, F.col("x").cast("bigint").alias("x"), F.col("y").cast("double").alias("y"), "owner", *z, *more)
+
+    both = rows(queries, F.col("qid"), F.lit(0).alias("kind")).unionByName(rows(items, F.col("value"), F.lit(1).alias("kind")), allowMissingColumns=True)
+    if count:
+        both = both.where("z is not null")
+    if not of.near:  # a block is a number, whose rows dominate none of each other
+        both = both.limit(0)
+    parts = max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4 * of.blocks, -(-of.rows // TASK_ROWS)))
+    best_first = Window.partitionBy(group, "_block").orderBy("kind", "value")
+    both = both.repartition(parts, group, "_block").withColumn("_place", F.row_number().over(best_first))
+    schema = T.StructType([both.schema[group], both.schema["qid"], both.schema["value"], *([T.StructField("n", T.LongType())] if count else [])])
+
+    def met(block_: pa.Table) -> pa.Table:
+        block_ = block_.combine_chunks()
+        first = block_.sort_by("_place")
+        n_q = len(first) - int(np.count_nonzero(first["kind"].to_numpy()))
+        q, i = first.slice(0, n_q), first.slice(n_q)
+        owner = first["owner"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int32)
+        cols = [_places(q[c].to_numpy(), i[c].to_numpy()) for c in ("x", "y")] + [(owner[:n_q], owner[n_q:])]
+        if count:
+            cols.append(_places(q["z"].to_numpy(), i["z"].to_numpy()))
+        of_q, of_i = np.stack([c[0] for c in cols]), np.stack([c[1] for c in cols])
+        best = _best_in_block(of_q[:3], of_i[:3])
+        hit = np.flatnonzero(best >= 0)
+        out = [q[group].take(hit), q["qid"].take(hit), i["value"].take(best[hit])]
+        if count:
+            out.append(pa.chunked_array([_count_in_block(of_q[:, hit], of_i)]))
+        return pa.Table.from_arrays(out, names=schema.names)
+
+    return both.groupBy(group, "_block").applyInArrow(met, schema)
+
+
 def best_above(queries: DataFrame, items: DataFrame, group: str, of: Range | None = None) -> DataFrame:
     """``queries``: (group, qid, x, y, owner); ``items``: (group, x, y, owner, value), the least value
     being the best. One row (group, qid, value) for every query that an item of another owner and outside the

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from draftledger.functions.columns import asc, desc
-from draftledger.functions.dominance import best_above, count_above, near, x_range
+from draftledger.functions.dominance import best_above, count_above, in_blocks, x_range
 from draftledger.functions.joins import later_and_better
 from draftledger.functions.windows import first_per_key
 from draftledger.session import materialize
@@ -132,30 +132,27 @@ class Alternatives:
                             hypo.alias("better_pick_scored_revenue"), (hypo - F.col("qid.score")).alias("missed_revenue"))
         return rows.filter(F.col("missed_revenue") > 0)
 
-    def best_rows(self) -> DataFrame:
-        """One row for every pick that a later one beats: its best alternative and what it missed."""
-        found = near(self.queries, self.items, "draft_id", self.range).groupBy("draft_id", "qid").agg(F.min("i_value").alias("value"))
+    def _found(self) -> DataFrame:
+        """Each dominated query's best item."""
+        found = in_blocks(self.queries, self.items, "draft_id", self.range)
         if self.range.far:
             found = found.unionByName(self._far).groupBy("draft_id", "qid").agg(F.min("value").alias("value"))
+        return found
+
+    def best_rows(self) -> DataFrame:
+        """One row for every pick that a later one beats: its best alternative and what it missed."""
         cols = [*TITLE, "overall_pick", "better_pick_title", "better_pick_scored_revenue", "missed_revenue"]
-        rows = self._beaten(found).select(*cols)
+        rows = self._beaten(self._found()).select(*cols)
         return rows if self.by_pair is None else rows.unionByName(self.by_pair.select(*cols))
 
     def beaten(self) -> DataFrame:
         """The titles that A3 has a row for, without their numbers (all that O3 needs)."""
-        q = self.queries.withColumn("z", least_revenue(F.col("qid.factor"), F.col("qid.score")))
-        rows = near(q, self.items, "draft_id", self.range, F.col("i_z") >= F.col("z"), "left_semi").select("draft_id", "qid.title")
-        if self.range.far:
-            rows = rows.unionByName(self._beaten(self._far).select(*TITLE))
-        if self.by_pair is not None:
-            rows = rows.unionByName(self.by_pair.select(*TITLE))
-        return rows.distinct() if self.range.far or self.by_pair is not None else rows
+        return self.best_rows().select(*TITLE).distinct()
 
     def stats(self) -> DataFrame:
         """A3: per beaten title the number of distinct alternatives and the largest miss."""
         q = self.queries.withColumn("z", least_revenue(F.col("qid.factor"), F.col("qid.score")))
-        enough = near(q, self.items, "draft_id", self.range, F.col("i_z") >= F.col("z"))
-        found = enough.groupBy("draft_id", "qid").agg(F.min("i_value").alias("value"), F.count(F.lit(1)).alias("n"))
+        found = in_blocks(q, self.items, "draft_id", self.range, count=True)
         if self.range.far:
             best = self._far.withColumn("n", F.lit(0).cast("long"))
             n = count_above(q, self.items, "draft_id", self.range)
