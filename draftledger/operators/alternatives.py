@@ -51,7 +51,11 @@ def _candidates(scored: DataFrame) -> DataFrame:
 
 
 def _pairs(picks: DataFrame, cands: DataFrame, width: int) -> DataFrame:
-    pairs = later_and_better(picks, cands, "overall_pick", "_p_score", "_c_pick", "_c_score", width=width)
+    return pair_rows(later_and_better(picks, cands, "overall_pick", "_p_score", "_c_pick", "_c_score", width=width))
+
+
+def pair_rows(pairs: DataFrame) -> DataFrame:
+    """M2's columns and filter over picks that have met their candidates."""
     # Hypothetical score and missed revenue, double and unrounded
     hypo = F.coalesce(F.col("multiplier"), F.lit(1.0)) * F.col("_c_rev").cast("double")
     missed = hypo - F.col("_p_score").cast("double")

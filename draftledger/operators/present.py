@@ -130,11 +130,11 @@ def dashboard_tables(board: DataFrame, base_query: DataFrame, layout: DataFrame,
 
 def write_league_table(name: str, df: DataFrame, root: str, version: str, buckets: int = 1) -> str:
     """K1/K2/K3: one table of one version. Leagues are dealt to ``buckets`` folders by a hash and lie sorted in
-    them (a league's drafters too), so a league is one folder and a few row groups however many leagues there are.
+    them (a league's drafters too, and the blocks of its pairs), so a league is one folder and a few row groups however many leagues there are.
     The number of files follows the size: rows of a bucket come together, and a large bucket is split. Returns the
     table's folder."""
     path = f"{root}/{name}/version={version}"
-    order = [c for c in ("bucket", "draft_id", "draftee_name") if c == "bucket" or c in df.columns]
+    order = [c for c in ("bucket", "draft_id", "draftee_name", "block", "place", "bit") if c == "bucket" or c in df.columns]
     placed = df.withColumn("bucket", bucket_of(F.col("draft_id"), buckets)).hint("rebalance", "bucket")
     placed.sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path)
     return path
