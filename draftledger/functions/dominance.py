@@ -12,12 +12,13 @@ larger than the query's. In a node the x is settled, and what is left is one ord
   running best and a running best of the losers: whenever an item and the leader so far have different
   owners, the worse of the two is a loser. The best loser is always the best of the owners other than the
   leader's.
-* count: the same once more for y (by rank), then a running count in order of z. Items of the query's own
-  owner are counted in a node of their own and taken off.
+* count: the same once more for y (by place), then a running count in order of z. Items of the query's own
+  owner are counted in a node of their own and taken off. Here too the lowest levels are left out: ``1 << NEAR_BITS`` places
+  of a node are a cell, whose rows meet in one task.
 
 A row has a copy per level, i.e. the logarithm of the number range; nothing is quadratic. The lowest levels are
 left out: numbers that differ only there share a block of ``1 << NEAR_BITS`` numbers, whose rows meet in one task (``in_blocks``), as
-columns of numbers compared many at a time. A node may be as
+columns of numbers (``_best_in_block``, ``_higher``). A node may be as
 large as a group, so running values are made in two parts (``Layout``): one range shuffle, running values
 inside each partition, and what the node's earlier partitions bring along.
 """
@@ -167,26 +168,59 @@ def _best_in_block(q: np.ndarray, i: np.ndarray) -> np.ndarray:
     return best
 
 
-def _count_in_block(q: np.ndarray, i: np.ndarray) -> np.ndarray:
-    """``q``, ``i``: x, y, owner and z in rows. Per query the number of items that dominate it with a z of at least its own."""
-    n, q_order, i_order = np.zeros(q.shape[1], np.int64), np.argsort(q[0]), np.argsort(i[0])
-    if not q.shape[1]:
-        return n
-    i = np.ascontiguousarray(i[:, i_order])
-    for rows in np.array_split(q_order, max(1, q.shape[1] * i.shape[1] // AT_ONCE)):
-        a = q[:, rows, None]
-        # in order of x: items up to the first query are below all of these, those beyond the last above all
-        low, high = np.searchsorted(i[0], [a[0].min(), a[0].max()], "right")
-        for part, with_x in ((i[:, low:high], True), (i[:, high:], False)):
-            hit = part[1] > a[1]
-            hit &= part[3] >= a[3]
-            hit &= part[2] != a[2]
-            if with_x:
-                hit &= part[0] > a[0]
-            n[rows] += np.count_nonzero(hit, axis=1)
+def _in_order(of_queries: np.ndarray, of_items: np.ndarray, items_first: bool) -> np.ndarray:
+    """The places of queries and items (in this order) among all, each its own; of equal ones the items come first or last."""
+    last = np.arange(len(of_queries) + len(of_items)) < len(of_queries)
+    order = np.lexsort((last if items_first else ~last, np.concatenate([of_queries, of_items])))
+    places = np.empty(len(order), np.int32)
+    places[order] = np.arange(len(order), dtype=np.int32)
+    return places
+
+
+def _higher(places: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """``places``: three rows of places 0, 1, ..., each its own. For every column that is no item the number of items that are higher in
+    all three. Places are cut into cells of about a root of their number: what shares a cell of x, of y or of z is compared, the
+    rest is read from a grid of cells of y and z, to which the items are added from the highest cell of x down."""
+    total, n = places.shape[1], np.zeros(places.shape[1], np.int64)
+    width = max(64, int((2 * total) ** 0.5))
+    cells = places // width
+    strips = [(0, places), (1, np.stack([cells[0], places[1], places[2]])), (2, np.stack([cells[0], cells[1], places[2]]))]
+    for k, values in strips:
+        order = np.argsort(places[k])
+        for at in range(0, total, width):
+            some = order[at:at + width]
+            q, i = some[~item[some]], some[item[some]]
+            if len(q) and len(i):
+                a, b = values[:, q, None], values[:, None, i]
+                hit = b[0] > a[0]
+                hit &= b[1] > a[1]
+                hit &= b[2] > a[2]
+                n[q] += np.add.reduce(hit, axis=1, dtype=np.int32)
+    side, order = -(-total // width), np.argsort(places[0])
+    down = side - 1 - cells  # from the highest cell on
+    above = np.zeros((side + 1, side + 1), np.int32)  # items so far in the cells of y and z before this one
+    for at in reversed(range(0, total, width)):
+        some = order[at:at + width]
+        q, i = some[~item[some]], some[item[some]]
+        n[q] += above[down[1, q], down[2, q]]
+        now = np.bincount(down[1, i] * side + down[2, i], minlength=side * side).astype(np.int32).reshape(side, side)
+        above[1:, 1:] += now.cumsum(0, dtype=np.int32).cumsum(1, dtype=np.int32)
     return n
 
 
+def _count_in_block(q: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """``q``, ``i``: x, y, owner and z in rows. Per query the number of items that dominate it with a z of at least its own: all
+    that are higher, without those of its own owner."""
+    places = np.stack([_in_order(q[0], i[0], True), _in_order(q[1], i[1], True), _in_order(q[3], i[3], False)])
+    item = np.arange(places.shape[1]) >= q.shape[1]
+    n, owner = _higher(places, item), np.concatenate([q[2], i[2]])
+    by_owner = np.argsort(owner, kind="stable")
+    for own in np.split(by_owner, np.flatnonzero(np.diff(owner[by_owner])) + 1):
+        if item[own].any() and not item[own].all():
+            n[own] -= _higher(places[:, own].argsort(axis=1).argsort(axis=1).astype(np.int32), item[own])
+    return n[:q.shape[1]]
+
+
 def in_blocks(queries: DataFrame, items: DataFrame, group: str, of: Range, count: bool = False) -> DataFrame:
     """What ``best_above`` (and with ``count`` ``count_above``) give, for the items of the query's own block: one row
     (group, qid, value[, n]) for every query that an item of the block dominates. A block has at most two times ``NEAR_ROWS`` rows;
@@ -255,25 +289,55 @@ def best_above(queries: DataFrame, items: DataFrame, group: str, of: Range | Non
     return both.groupBy(group, "qid").agg(F.min(found).alias("value")).where(F.col("value").isNotNull())
 
 
+def _count_in_cells(rows: DataFrame, keys: Sequence[str], of: Range) -> DataFrame:
+    """``rows``: the group and further keys, x, y, owner, z, kind (0: an item) and qid. One row (group, qid, n) for every query of a cell
+    (the keys): the items of the cell that dominate it. A task takes one cell at a time."""
+    schema = T.StructType([rows.schema[keys[0]], rows.schema["qid"], T.StructField("n", T.LongType())])
+
+    def met(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        query = cell["kind"].to_numpy() == 1
+        owner = cell["owner"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int32)
+        cols = np.stack([cell["x"].to_numpy(), cell["y"].to_numpy(), owner, cell["z"].to_numpy()])
+        at = np.flatnonzero(query)
+        n = _count_in_block(cols[:, query], cols[:, ~query])
+        return pa.Table.from_arrays([cell[keys[0]].take(at), cell["qid"].take(at), pa.chunked_array([n])], names=schema.names)
+
+    # copies of a row are some for each level of x; a cell has rows enough for a task of its own
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-of.rows * max(1, of.bits - of.near) // (4 * TASK_ROWS)))
+    return rows.repartition(parts, *keys).groupBy(*keys).applyInArrow(met, schema)
+
+
 def count_above(queries: DataFrame, items: DataFrame, group: str, of: Range | None = None) -> DataFrame:
     """``queries``: (group, qid, x, y, z, owner); ``items``: (group, x, y, z, owner). One row (group, qid, n) for every
     query that has any node: the items of other owners and outside the query's block with larger x and y and
     a z of at least the query's."""
     width, top = 2, 3
     of = of or x_range(queries, items, group)
-    heights = row_number_within(queries.select(group, "y").union(items.select(group, "y")).distinct(), [group], [F.col("y").asc()], "rank_")
-
-    def placed(df: DataFrame, item: bool) -> DataFrame:
-        df = _with_x(df.join(heights, [group, "y"]), of, width, item)
-        ny = _nodes(F.col("rank_"), of.tall, width, (lambda d: d > 0) if item else (lambda d: d < top))
+    # every row has a place of its own in order of y, items before queries of their own y: they are not above
+    both = queries.select(group, "qid", "x", "y", "z", "owner", F.lit(1).alias("kind")).unionByName(
+        items.select(group, "x", "y", "z", "owner", F.lit(0).alias("kind")), allowMissingColumns=True)
+    both = row_number_within(both, [group], [F.col("y").asc(), F.col("kind").asc()], "rank_")
+    low = NEAR_BITS // width * width  # so many bits of the places are left to cells
+
+    nodes = {item: _with_x(both.where(f"kind = {0 if item else 1}"), of, width, item) for item in (True, False)}
+    cells = nodes[True].unionByName(nodes[False]).where("z is not null").select(
+        group, F.col("nx.level").alias("lx"), F.col("nx.node").alias("kx"), F.shiftright("rank_", low).alias("ky"), F.col("nx.digit").cast("bigint").alias("x"),
+        F.col("rank_").alias("y"), F.col("z").cast("bigint").alias("z"), "owner", "kind", "qid")
+    close = _count_in_cells(cells, [group, "lx", "kx", "ky"], of)
+    if of.tall <= low:
+        return close.groupBy(group, "qid").agg(F.sum("n").alias("n"))
+
+    def placed(item: bool) -> DataFrame:
+        ny = _nodes(F.col("rank_"), of.tall, width, (lambda d: d > 0) if item else (lambda d: d < top), low)
         # the nodes of all owners, and those of the own one
         parts = F.array(F.lit("a"), F.concat(F.lit("o"), F.col("owner")))
-        return df.withColumn("ny", F.explode(ny)).withColumn("part", F.explode(parts)).select(
+        return nodes[item].withColumn("ny", F.explode(ny)).withColumn("part", F.explode(parts)).select(
             group, F.col("nx.level").alias("lx"), F.col("nx.node").alias("kx"), F.col("ny.level").alias("ly"), F.col("ny.node").alias("ky"), "part",
-            "z", F.lit(0 if item else 1).alias("kind"), F.col("nx.digit").alias("dx"), F.col("ny.digit").alias("dy"), *([] if item else ["qid"]))
+            "z", "kind", F.col("nx.digit").alias("dx"), F.col("ny.digit").alias("dy"), *([] if item else ["qid"]))
 
     # items before queries of their own z: they count
-    lay = Layout(placed(items, True).unionByName(placed(queries, False), allowMissingColumns=True),
+    lay = Layout(placed(True).unionByName(placed(False), allowMissingColumns=True),
                  [group, "lx", "kx", "ly", "ky", "part"], [F.col("z").desc(), F.col("kind").asc()])
     cells = [(a, b) for a in range(top) for b in range(top)]
     hit = {(a, b): F.when((F.col("kind") == 0) & (F.col("dx") > a) & (F.col("dy") > b), 1).otherwise(0) for a, b in cells}
@@ -283,4 +347,5 @@ def count_above(queries: DataFrame, items: DataFrame, group: str, of: Range | No
     zero, n = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
     for a, b in cells:
         n = F.when((F.col("dx") == a) & (F.col("dy") == b), F.coalesce(f"n{a}{b}", zero) + F.coalesce(f"c{a}{b}", zero)).otherwise(n)
-    return lay.brought(rows, blocks).groupBy(group, "qid").agg(F.sum(F.when(F.col("part") == "a", n).otherwise(-n)).alias("n"))
+    far = lay.brought(rows, blocks).select(group, "qid", F.when(F.col("part") == "a", n).otherwise(-n).alias("n"))
+    return far.unionByName(close).groupBy(group, "qid").agg(F.sum("n").alias("n"))

@@ -1,10 +1,13 @@
 """Rows of one block of numbers meet as columns of numbers in one task, not pair by pair."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
+from draftledger.functions import dominance
 from draftledger.functions.dominance import in_blocks, x_range
 from draftledger.plans.catalog import QUERIES
 from draftledger.plans.explain import plan_text
@@ -42,3 +45,24 @@ def test_no_plan_joins_the_rows_of_a_block(spark, key, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "parquet", spy)
     texts = [plan_text(QUERIES[key](spark, SF)), *seen]
     assert not any("_i_block" in t for t in texts) and any("FlatMapGroupsInArrow" in t for t in texts)
+
+
+def test_counting_a_block_compares_few_of_its_pairs():
+    r = np.random.default_rng(3)
+    for n, values, owners in ((0, 1, 1), (1, 3, 1), (700, 9, 3), (3000, 50, 40), (3000, 10 ** 6, 900)):
+        q, i = (np.stack([r.integers(0, v, n) for v in (values, values, owners, values)]) for _ in range(2))
+        a, b = q[:, :, None], i[:, None, :]
+        want = ((b[0] > a[0]) & (b[1] > a[1]) & (b[2] != a[2]) & (b[3] >= a[3])).sum(axis=1)
+        assert (dominance._count_in_block(q, i) == want).all()
+
+
+def test_the_time_to_count_a_block_is_not_quadratic():
+    r = np.random.default_rng(4)
+
+    def seconds(n):
+        rows = np.stack([r.permutation(n), r.permutation(n), np.arange(n) % 4, r.permutation(n)]).astype(np.int32)
+        at = time.process_time()
+        dominance._count_in_block(rows, rows)
+        return time.process_time() - at
+
+    assert min(seconds(60_000) for _ in range(3)) < 10 * min(seconds(15_000) for _ in range(3))  # quadratic: 16
