@@ -78,9 +78,8 @@ def summarize(snap: DataFrame, depth: int = DEPTH) -> History:
     return History(title_state(snap, depth), floor_state(snap), published_state(snap))
 
 
-def _newest_of(all_: Column, depth: int) -> Column:
-    """Of snapshots in an array, the newest ``depth`` of each year, newest first."""
-    ordered = F.sort_array(all_, asc=False)
+def _newest_of(ordered: Column, depth: int) -> Column:
+    """Of snapshots in an array, newest first, the newest ``depth`` of each year, newest first."""
     years = F.array_distinct(F.transform(ordered, lambda x: x["release_year"]))
     kept = F.transform(years, lambda y: F.slice(F.filter(ordered, lambda x: x["release_year"].eqNullSafe(y)), 1, depth))
     return F.sort_array(F.flatten(kept), asc=False)
@@ -91,6 +90,8 @@ def merge(a: History, b: History, depth: int = DEPTH) -> History:
     keys = [*_league(a.titles), "title"]
     both = a.titles.unionByName(b.titles).groupBy(*keys).agg(
         F.min("first_seen_date").alias("first_seen_date"), F.flatten(F.collect_list("_newest")).alias("_newest"))
+    # a column of its own: within one expression the array would be sorted again for every year
+    both = both.withColumn("_newest", F.sort_array("_newest", asc=False))
     through = a.published.unionByName(b.published)
     return History(
         both.select(*keys, "first_seen_date", _newest_of(F.col("_newest"), depth).alias("_newest")),
@@ -107,5 +108,5 @@ def years_of(history: History, seen: DataFrame) -> DataFrame:
     """The release years that the titles of ``seen`` have snapshots of: a new day of a title moves its
     first day and its activity in all of them."""
     named = history.titles.join(seen.select("title").distinct(), "title", "left_semi")
-    years = named.select(F.explode(F.transform("_newest", lambda x: x["release_year"])).alias("release_year"))
+    years = named.select(F.explode(F.array_distinct("_newest.release_year")).alias("release_year"))  # no other field is read
     return years.where("release_year is not null").distinct()

@@ -69,17 +69,20 @@ def season_titles(history: DataFrame, season: Season, years: DataFrame | None =
     state = history.withColumn("_act", _activity_columns(season, False)["still_in_theaters"])
     if years is not None:
         years = years.select("draft_id", F.col("year").cast("string").alias("_year")).distinct()
-    if shared:
-        by_year = state.withColumn("_year", F.explode(F.array_distinct(F.transform("_newest", lambda x: x["release_year"]))))
-        state = _to_leagues(by_year, years)
-    elif years is not None:
+    def newest_of(year: F.Column) -> F.Column:
+        return F.get(F.filter("_newest", lambda x: x["release_year"] == year), F.lit(0))
+
+    shown = [*[F.col(f"_n.{c}").alias(c) for c in MONEY], F.col("_n.loaded_date").alias("loaded_date"), "first_seen_date", "_act"]
+    if shared:  # a title's snapshot of a year is found once, not in every league of the year
+        seen = F.array_distinct(F.transform("_newest", lambda x: x["release_year"]))
+        by_year = state.select("title", "first_seen_date", "_act", F.explode(F.transform(seen, newest_of)).alias("_n"))
+        by_year = by_year.filter(F.col("_n").isNotNull()).select("title", F.col("_n.release_year").alias("_year"), *shown)
+        return _to_leagues(by_year, years).drop("_year").select(*KEYS, *MONEY, "loaded_date", "first_seen_date", "_act")
+    if years is not None:
         state = state.join(years, "draft_id")
     else:
         state = state.withColumn("_year", F.lit(season.year_text))
-    state = state.withColumn("_n", F.get(F.filter("_newest", lambda x: x["release_year"] == F.col("_year")), F.lit(0)))
-    return state.filter(F.col("_n").isNotNull()).select(
-        *KEYS, *[F.col(f"_n.{c}").alias(c) for c in MONEY],
-        F.col("_n.loaded_date").alias("loaded_date"), "first_seen_date", "_act")
+    return state.withColumn("_n", newest_of(F.col("_year"))).filter(F.col("_n").isNotNull()).select(*KEYS, *shown)
 
 
 def _to_leagues(by_year: DataFrame, years: DataFrame) -> DataFrame:

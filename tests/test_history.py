@@ -6,6 +6,7 @@ import pytest
 
 from draftledger.operators import checks, clean, history, titles
 from draftledger.plans import history_state
+from draftledger.plans.explain import plan_text
 from draftledger.plans.refresh import InputPaths, read_table, refresh_paths
 from draftledger.sources import readers
 from draftledger.sources import schemas as S
@@ -136,3 +137,18 @@ def test_a_league_configured_twice_stops_stream_and_refresh(spark, tmp_path):
     with pytest.raises(Exception, match="L2"):
         _run(spark, paths, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     assert history_state.load(spark, str(tmp_path / "out" / "_history")) is None
+
+
+def test_a_shared_title_is_worked_on_before_it_is_given_to_the_leagues(spark):
+    """Its snapshot of a year was looked for in every league, and a merge sorted its snapshots once for every year."""
+    whole = clean.clean_snapshots(spark.createDataFrame(_snaps(2), S.SNAPSHOT).drop("draft_id"))
+    years = spark.createDataFrame(YEARS, "draft_id string, year int")
+    state = history.title_state(whole, 2)
+    lines = plan_text(titles.season_titles(state, SEASON, years)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("_newest" in line or "lambda" in line for line in lines[:join + 1])
+    parts = [history.summarize(whole.where(c)) for c in ("revenue > 5", "not coalesce(revenue > 5, false)")]
+    merged = history.merge(*parts).titles
+    top = plan_text(merged).split("ObjectHashAggregate")[0]
+    assert top.count("sort_array(") == 1, top
+    assert _rows(merged) == _rows(history.title_state(whole))
